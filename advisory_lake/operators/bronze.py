@@ -5,27 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from advisory_lake import schemas
 from advisory_lake.functions.scalars import instant
+from advisory_lake.sources.records import packed_json, parse_packed, parsed
 
 PUBLICATION_YEAR = 2024
 
 
-def _id() -> Column:
-    return F.col("cveMetadata.cveId")
-
-
-def _published_year() -> Column:
-    return F.year(instant(F.col("cveMetadata.datePublished")))
+def _published_year(metadata: Column) -> Column:
+    return F.year(instant(metadata["datePublished"]))
 
 
 def keep_published(records: DataFrame, year: int = PUBLICATION_YEAR) -> DataFrame:
     """The year is that of the publication date, never that of the file's folder or id."""
-    return records.filter(_id().isNotNull()).filter(_published_year() == year)
+    metadata = F.col("cveMetadata")
+    return records.filter(metadata["cveId"].isNotNull()).filter(_published_year(metadata) == year)
+
+
+def published_records(snapshot: DataFrame, year: int = PUBLICATION_YEAR) -> DataFrame:
+    """The kept records of a packed snapshot.
+
+    A first, shallow parse looks at id and date only, so that the full parse is spent on
+    the files that hold a wanted record.
+    """
+
+    def wanted(record: Column) -> Column:
+        metadata = record["cveMetadata"]
+        return metadata["cveId"].isNotNull() & (_published_year(metadata) == year)
+
+    headers = parsed(F.col("file_content"), schemas.RECORD_HEADER)
+    return keep_published(parse_packed(packed_json(snapshot).filter(F.exists(headers, wanted))), year)
 
 
 def reject_summary(records: DataFrame, year: int = PUBLICATION_YEAR) -> DataFrame:
-    """What the two filters dropped, by reason, in one pass."""
-    has_id, published = _id().isNotNull(), _published_year()
+    """What the two filters drop, by reason, in one pass."""
+    metadata = F.col("cveMetadata")
+    has_id, published = metadata["cveId"].isNotNull(), _published_year(metadata)
     return records.agg(
         F.count(F.lit(1)).alias("rows_read"),
         F.count_if(~has_id).alias("without_id"),

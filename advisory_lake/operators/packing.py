@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from advisory_lake.functions.paths import checked_relative, clean_path, join_path, parent_dir
+from advisory_lake.session import small_file_scans
 from advisory_lake.sources.snapshot import ROWS_PER_FILE, read_snapshot, scan_width, write_snapshot
 from advisory_lake.sources.tree import list_files, read_files
 
@@ -16,8 +17,10 @@ WRITTEN_DDL = "files_written LONG, bytes_written LONG"
 
 
 def pack_tree(spark: SparkSession, root: str, snapshot_path: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """Write every file below ``root`` into a snapshot and read it back."""
-    write_snapshot(read_files(spark, root), snapshot_path, rows_per_file)
+    """Write every file below ``root`` into a snapshot and read it back. A task packs up
+    to ``rows_per_file`` files, so there is no shuffle and no swarm of small outputs."""
+    with small_file_scans(spark, rows_per_file):
+        write_snapshot(read_files(spark, root), snapshot_path, rows_per_file)
     return read_snapshot(spark, snapshot_path)
 
 

@@ -12,11 +12,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from advisory_lake.operators import bronze
 from advisory_lake.operators.packing import unpack_snapshot, written_totals
 from advisory_lake.plans.medallion import Lake
 from advisory_lake.session import run_folder, utc
 from advisory_lake.sources import standin
-from advisory_lake.sources.records import parse_snapshot
 from advisory_lake.sources.snapshot import read_snapshot, write_snapshot
 
 _feeds: dict[tuple[str, str, str], Feeds] = {}
@@ -63,13 +63,13 @@ class Feeds:
     def lake(self) -> Lake:
         suffix = self.folder.rpartition("-")[2]
         lake = Lake(self.spark, f"{self.folder}/lake", f"cve_bronze_{suffix}", f"cve_silver_{suffix}")
-        lake.build_bronze(self.records(), standin.PUBLICATION_YEAR)
+        lake.ingest_snapshot(self.record_snapshot, standin.PUBLICATION_YEAR)
         lake.build_silver()
         return lake
 
-    def records(self) -> DataFrame:
-        """Every record of the packed snapshot."""
-        return parse_snapshot(read_snapshot(self.spark, self.record_snapshot))
+    def kept_records(self) -> DataFrame:
+        snapshot = read_snapshot(self.spark, self.record_snapshot)
+        return bronze.published_records(snapshot, standin.PUBLICATION_YEAR)
 
     def _stored(self, label: str, snapshot: DataFrame) -> str:
         path = f"{self.folder}/{label}"

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from advisory_lake.operators import bronze, quality, silver
 from advisory_lake.operators.partitioning import even_partitions
-from advisory_lake.session import utc
+from advisory_lake.session import small_file_scans, utc
 from advisory_lake.sources import tables
+from advisory_lake.sources.records import read_record_files
+from advisory_lake.sources.snapshot import read_snapshot
 
 
 @dataclass(frozen=True)
@@ -40,11 +42,20 @@ class Lake:
         tables.replace_table(df, table, f"{self.folder}/{table.replace('.', '/')}", self.table_format)
         return tables.read_table(self.spark, table)
 
-    def build_bronze(self, records: DataFrame, year: int = bronze.PUBLICATION_YEAR) -> DataFrame:
-        """Write the kept records. They are few against what is read, so they are spread
-        evenly over right-sized files while the read keeps its own parallelism."""
+    def ingest_snapshot(self, path: str, year: int = bronze.PUBLICATION_YEAR) -> DataFrame:
+        """Bronze straight from a packed snapshot, the way to take for large trees."""
         with utc(self.spark):
-            return self.write(even_partitions(bronze.keep_published(records, year)), self.records)
+            return self._write_bronze(bronze.published_records(read_snapshot(self.spark, path), year))
+
+    def ingest_tree(self, root: str, year: int = bronze.PUBLICATION_YEAR) -> DataFrame:
+        """Bronze from a tree with one record per file."""
+        with utc(self.spark), small_file_scans(self.spark):
+            return self._write_bronze(bronze.keep_published(read_record_files(self.spark, root), year))
+
+    def _write_bronze(self, kept: DataFrame) -> DataFrame:
+        # Few rows are left of what was read: spread them evenly over right-sized files
+        # while the read keeps its own parallelism.
+        return self.write(even_partitions(kept), self.records)
 
     def build_silver(self) -> tuple[DataFrame, DataFrame]:
         """Write both silver tables; neither needs a shuffle."""
@@ -60,10 +71,10 @@ class Lake:
 
 
 def run(
-    lake: Lake, records: DataFrame, year: int = bronze.PUBLICATION_YEAR, min_rows: int = quality.MIN_ROWS
+    lake: Lake, snapshot_path: str, year: int = bronze.PUBLICATION_YEAR, min_rows: int = quality.MIN_ROWS
 ) -> DataFrame:
-    """Build all tables and fail when a check does; gives back the report."""
-    lake.build_bronze(records, year)
+    """Snapshot to silver; gives back the report, or fails when a check does."""
+    lake.ingest_snapshot(snapshot_path, year)
     lake.build_silver()
     report = lake.check(min_rows)
     quality.enforce(report)

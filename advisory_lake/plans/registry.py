@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from advisory_lake import schemas
 from advisory_lake.functions.scalars import without_zone
 from advisory_lake.operators import bronze, gold, inventory, packing, partitioning, quality
 from advisory_lake.plans import gold_sql
@@ -158,7 +159,7 @@ def bronze_ingest_lines(feed: Feeds) -> DataFrame:
 
 @query
 def bronze_records(feed: Feeds) -> DataFrame:
-    return bronze.keep_published(feed.records(), YEAR).select(
+    return feed.kept_records().select(
         F.col("cveMetadata.cveId").alias("cve_id"),
         F.col("cveMetadata.datePublished").alias("date_published_raw"),
         F.col("containers.cna.title").alias("title"),
@@ -167,7 +168,8 @@ def bronze_records(feed: Feeds) -> DataFrame:
 
 @query
 def bronze_reject_summary(feed: Feeds) -> DataFrame:
-    return bronze.reject_summary(feed.records(), YEAR)
+    packed = records.packed_json(snapshot.read_snapshot(feed.spark, feed.record_snapshot))
+    return bronze.reject_summary(records.parse_packed(packed, schemas.RECORD_HEADER), YEAR)
 
 
 def _titles(table: DataFrame) -> DataFrame:
@@ -184,7 +186,7 @@ def bronze_table_roundtrip(feed: Feeds) -> DataFrame:
     """Replace a table by one with other columns, then read it from the catalog."""
     folder = feed.new_folder("roundtrip")
     lake = Lake(feed.spark, folder, bronze_schema="roundtrip_" + folder.rpartition("-")[2])
-    kept = bronze.keep_published(feed.records(), YEAR)
+    kept = feed.kept_records()
     lake.write(kept.select("dataType"), lake.records)
     return _titles(lake.write(kept, lake.records))
 
@@ -194,7 +196,7 @@ def bronze_output_files(feed: Feeds) -> DataFrame:
     """Both ways of bounding the number of output files, checked on what was written."""
     packed = tree.list_files(feed.spark, feed.record_snapshot).agg(F.sum("length").alias("bytes")).first().bytes
     budget = partitioning.file_budget(packed)
-    kept = bronze.keep_published(feed.records(), YEAR)
+    kept = feed.kept_records()
 
     def written(layout: str, df: DataFrame) -> DataFrame:
         path = feed.new_folder(layout)

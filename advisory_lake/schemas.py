@@ -15,6 +15,9 @@ RECORD = """
             cvssV4_0: STRUCT<baseScore: DOUBLE, baseSeverity: STRING>>>>>
 """
 
+# The part of a record that decides whether bronze keeps it.
+RECORD_HEADER = "cveMetadata STRUCT<cveId: STRING, datePublished: STRING>"
+
 SNAPSHOT = "relative_path STRING, file_content BINARY"
 
 # The columns of Spark's binary file source.

@@ -11,6 +11,9 @@ from pyspark.sql import SparkSession
 
 ZONE_KEY = "spark.sql.session.timeZone"
 SHARED_FOLDER_KEY = "spark.checkpoint.dir"
+SPLIT_BYTES_KEY = "spark.sql.files.maxPartitionBytes"
+OPEN_COST_KEY = "spark.sql.files.openCostInBytes"
+LISTING_TASKS_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 _local_folder: tempfile.TemporaryDirectory | None = None
 
@@ -26,18 +29,44 @@ def build_session(app_name: str = "advisory-lake", master: str | None = None, **
 
 
 @contextmanager
-def utc(spark: SparkSession) -> Iterator[None]:
+def settings(spark: SparkSession, values: dict[str, str | int]) -> Iterator[None]:
+    """Session settings for the length of a block."""
+    before = {key: spark.conf.get(key) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def utc(spark: SparkSession):
     """Plan in UTC whatever the caller's session says.
 
     Spark writes the zone into an expression when it analyses it, so a frame built
     inside this block keeps UTC when it runs later.
     """
-    before = spark.conf.get(ZONE_KEY)
-    spark.conf.set(ZONE_KEY, "UTC")
-    try:
-        yield
-    finally:
-        spark.conf.set(ZONE_KEY, before)
+    return settings(spark, {ZONE_KEY: "UTC"})
+
+
+def small_file_scans(spark: SparkSession, files_per_task: int = 5000):
+    """Let a scan task take many small files: up to so many, or one split of bytes.
+    Holds for jobs that run inside the block. Scans still use every core."""
+    return settings(spark, {OPEN_COST_KEY: max(1, conf_bytes(spark, SPLIT_BYTES_KEY) // files_per_task)})
+
+
+def modest_listing(spark: SparkSession, tasks_per_core: int = 4):
+    """List folders in a few tasks per core rather than one task per folder."""
+    tasks = min(int(spark.conf.get(LISTING_TASKS_KEY)), tasks_per_core * spark.sparkContext.defaultParallelism)
+    return settings(spark, {LISTING_TASKS_KEY: tasks})
+
+
+def conf_bytes(spark: SparkSession, key: str) -> int:
+    """A size setting such as ``128MB`` or ``134217728b`` in bytes."""
+    text = spark.conf.get(key).strip().lower().removesuffix("b")
+    factor = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1:], 1)
+    return int(text.rstrip("kmg")) * factor
 
 
 def shared_folder(spark: SparkSession) -> str:

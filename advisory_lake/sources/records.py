@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from advisory_lake import schemas
 from advisory_lake.functions.paths import clean_path
+from advisory_lake.session import modest_listing
 
 RECORD_FOLDER = "cves"
 
@@ -18,25 +19,34 @@ def read_record_files(spark: SparkSession, root: str, multi_line: bool = True) -
     gives a row per element). Without it each line is a document and large files split.
     Text that is no record gives a row of nulls.
     """
-    return (
+    reader = (
         spark.read.schema(schemas.RECORD)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .option("multiLine", multi_line)
-        .json(root)
     )
+    with modest_listing(spark):
+        return reader.json(root)
 
 
-def parse_snapshot(snapshot: DataFrame, folder: str = RECORD_FOLDER) -> DataFrame:
-    """The same records from a packed snapshot, without recreating any file.
+def packed_json(snapshot: DataFrame, folder: str = RECORD_FOLDER) -> DataFrame:
+    """The packed JSON files of the record folder."""
+    path = clean_path(F.col("relative_path"))
+    return snapshot.filter(path.startswith(f"{folder}/") & path.endswith(".json"))
+
 
-    Parsing as an array accepts a single object as well, so both file shapes work and
-    the generator parses each text once. Stray bytes become replacement characters.
+def parsed(content: Column, schema: str = schemas.RECORD) -> Column:
+    """The records in a file's bytes, as an array.
+
+    Parsing as an array accepts a single object as well, so both file shapes work.
+    Stray bytes become replacement characters; text that is no record gives null.
     """
-    path = clean_path(F.col("relative_path"))
-    text = F.make_valid_utf8(F.col("file_content").cast("string"))
-    return (
-        snapshot.filter(path.startswith(f"{folder}/") & path.endswith(".json"))
-        .select(F.explode_outer(F.from_json(text, f"ARRAY<STRUCT<{schemas.RECORD}>>")).alias("record"))
-        .select("record.*")
-    )
+    text = F.make_valid_utf8(content.cast("string"))
+    return F.from_json(text, f"ARRAY<STRUCT<{schema}>>")
+
+
+def parse_packed(files: DataFrame, schema: str = schemas.RECORD) -> DataFrame:
+    """The records of packed JSON files without recreating any file; a row of nulls for
+    one that holds no record. ``schema`` may be any part of the record's."""
+    entries = files.select(F.explode_outer(parsed(F.col("file_content"), schema)).alias("record"))
+    return entries.select("record.*")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from advisory_lake import schemas
+from advisory_lake.session import OPEN_COST_KEY, SPLIT_BYTES_KEY, conf_bytes
 from advisory_lake.sources.tree import list_files
 
 ROWS_PER_FILE = 5000
@@ -30,14 +31,8 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 def scan_width(spark: SparkSession, path: str) -> int:
     """Least number of tasks a scan of this snapshot gets: every file is its own split
     unless Spark packs small ones together, which it never does beyond the split size."""
-    split = _bytes(spark, "spark.sql.files.maxPartitionBytes")
-    opening = _bytes(spark, "spark.sql.files.openCostInBytes")
+    split, opening = conf_bytes(spark, SPLIT_BYTES_KEY), conf_bytes(spark, OPEN_COST_KEY)
     weight = F.sum(F.col("length") + F.lit(opening))
     total = list_files(spark, path).agg(weight.alias("weight")).first()["weight"] or 0
     return max(1, math.ceil(total / split))
 
-
-def _bytes(spark: SparkSession, key: str) -> int:
-    text = spark.conf.get(key).strip().lower().removesuffix("b")
-    factor = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1:], 1)
-    return int(text.rstrip("kmg")) * factor

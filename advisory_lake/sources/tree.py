@@ -13,16 +13,18 @@ from pyspark.sql import functions as F
 
 from advisory_lake import schemas
 from advisory_lake.functions.paths import relative_to
+from advisory_lake.session import modest_listing
 
 
 def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    return (
+    reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("ignoreMissingFiles", True)
         .option("ignoreCorruptFiles", True)
-        .load(paths)
     )
+    with modest_listing(spark):
+        return reader.load(paths)
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:

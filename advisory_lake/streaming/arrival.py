@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from advisory_lake import schemas
+from advisory_lake.session import modest_listing, small_file_scans
 
 
 def arriving_files(spark: SparkSession, root: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -36,11 +37,12 @@ def count_arrivals(
     """
     counted = arriving_files(spark, root, files_per_trigger).agg(F.count(F.lit(1)).alias("found"))
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (
+    writer = (
         counted.writeStream.format("memory")
         .queryName(name)
         .outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
-        .start()
     )
+    with modest_listing(spark), small_file_scans(spark):  # the query keeps the settings it starts with
+        return writer.start()
