@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from advisory_lake.functions.paths import checked_relative, clean_path, join_path, parent_dir
 from advisory_lake.session import small_file_scans
 from advisory_lake.sources.snapshot import ROWS_PER_FILE, read_snapshot, scan_width, write_snapshot
-from advisory_lake.sources.tree import list_files, read_files
+from advisory_lake.sources.stores import arrow_uri
+from advisory_lake.sources.tree import read_files, read_some_files
 
 PARALLEL_TASKS = 200
 SAMPLE_SIZE = 100
@@ -48,7 +49,7 @@ def unpack(snapshot: DataFrame, root: str, tasks: int | None = None) -> DataFram
     )
     if tasks:
         rows = rows.repartition(tasks)
-    return rows.mapInArrow(_file_writer(_arrow_uri(root)), WRITTEN_DDL)
+    return rows.mapInArrow(_file_writer(arrow_uri(root)), WRITTEN_DDL)
 
 
 def unpack_snapshot(
@@ -108,11 +109,7 @@ def verify_sample(
     """
     names = [row.relative_path for row in sample_paths(snapshot, size, seed).collect()]
     packed = snapshot.filter(F.col("relative_path").isin(names))
-    wanted = [name.replace("\\", "/") for name in names]
-    present = list_files(spark, root).filter(F.col("relative_path").isin(wanted)).select("path").collect()
-    if not present:
-        return _digests(packed, "packed").select("relative_path", F.lit(False).alias("matches"))
-    found = read_files(spark, root, [row.path for row in present])
+    found = read_some_files(spark, root, [name.replace("\\", "/") for name in names])
     return _digests(packed, "packed").join(_digests(found, "found"), "relative_path", "left").select(
         "relative_path", F.col("packed").eqNullSafe(F.col("found")).alias("matches")
     )
@@ -124,16 +121,6 @@ def _digests(files: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _arrow_uri(root: str) -> str:
-    """The folder as Arrow's file systems name it."""
-    for spark_scheme, scheme in (("s3a://", "s3://"), ("s3n://", "s3://")):
-        if root.startswith(spark_scheme):
-            return scheme + root.removeprefix(spark_scheme)
-    if root.startswith("file:"):
-        return "/" + root.removeprefix("file:").lstrip("/")
-    return root.rstrip("/")
-
-
 def _file_writer(uri: str):
     # A closure with its own imports: workers need no copy of this package.
     def write_batches(batches):

@@ -194,14 +194,14 @@ def bronze_table_roundtrip(feed: Feeds) -> DataFrame:
 @query
 def bronze_output_files(feed: Feeds) -> DataFrame:
     """Both ways of bounding the number of output files, checked on what was written."""
-    packed = tree.list_files(feed.spark, feed.record_snapshot).agg(F.sum("length").alias("bytes")).first().bytes
+    packed = tree.data_files(feed.spark, feed.record_snapshot).agg(F.sum("length").alias("bytes")).first().bytes
     budget = partitioning.file_budget(packed)
     kept = feed.kept_records()
 
     def written(layout: str, df: DataFrame) -> DataFrame:
         path = feed.new_folder(layout)
         df.write.parquet(path)
-        files = tree.list_files(feed.spark, path).agg(F.count(F.lit(1)).alias("files"))
+        files = tree.data_files(feed.spark, path).agg(F.count(F.lit(1)).alias("files"))
         return files.select(F.lit(layout).alias("layout"), F.col("files").between(1, budget).alias("within_limit"))
 
     merged = written("merged", partitioning.merge_partitions(kept, budget))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from advisory_lake import schemas
 from advisory_lake.session import OPEN_COST_KEY, SPLIT_BYTES_KEY, conf_bytes
-from advisory_lake.sources.tree import list_files
+from advisory_lake.sources.tree import data_files
 
 ROWS_PER_FILE = 5000
 
@@ -33,6 +33,6 @@ def scan_width(spark: SparkSession, path: str) -> int:
     unless Spark packs small ones together, which it never does beyond the split size."""
     split, opening = conf_bytes(spark, SPLIT_BYTES_KEY), conf_bytes(spark, OPEN_COST_KEY)
     weight = F.sum(F.col("length") + F.lit(opening))
-    total = list_files(spark, path).agg(weight.alias("weight")).first()["weight"] or 0
+    total = data_files(spark, path).agg(weight.alias("weight")).first()["weight"] or 0
     return max(1, math.ceil(total / split))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from advisory_lake.sources.tree import list_files
+from advisory_lake.sources.tree import data_files
 
 
 def ensure_schema(spark: SparkSession, name: str, location: str) -> None:
@@ -40,7 +40,7 @@ def table_detail(spark: SparkSession, name: str) -> DataFrame:
         F.size(columns).alias("column_count"),
     ).first()
     stored = (
-        list_files(spark, meta["location"])
+        data_files(spark, meta["location"])
         .agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
         .first()
     )

@@ -1,8 +1,9 @@
 """File trees through the ``binaryFile`` source.
 
 Names that start with ``.`` or ``_`` are not listed, as in every Spark file source.
-The listing itself is held by the driver; when a tree is too large for that, work
-from its packed snapshot instead, which no operator lists file by file.
+The source also leaves out empty files, which are added here. The listing is held by
+the driver; when a tree is too large for that, work from its packed snapshot instead,
+which no operator lists file by file.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from advisory_lake import schemas
-from advisory_lake.functions.paths import relative_to
+from advisory_lake.functions.paths import join_path, relative_to
 from advisory_lake.session import modest_listing
+from advisory_lake.sources.stores import empty_files
 
 
 def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -28,10 +30,18 @@ def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """One row per file below ``root``; the content column is never read."""
-    return _files(spark, root).select(
+    """One row per file below ``root``; no content is read."""
+    listed = _files(spark, root).select(
         relative_to(F.col("path"), root).alias("relative_path"), "path", "length", "modificationTime"
     )
+    return listed.unionByName(
+        empty_files(spark, root).select(
+            "relative_path",
+            join_path(root, F.col("relative_path")).alias("path"),
+            F.lit(0).cast("long").alias("length"),
+            "modificationTime",
+        )
+    )
 
 
 def list_files_if_present(spark: SparkSession, root: str) -> DataFrame:
@@ -44,12 +54,28 @@ def list_files_if_present(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], schemas.LISTING)
 
 
-def read_files(spark: SparkSession, root: str, only: list[str] | None = None) -> DataFrame:
-    """Snapshot rows of a tree: relative path and bytes of each file.
+def data_files(spark: SparkSession, location: str) -> DataFrame:
+    """Path, length and time of a table's files, none of which is empty."""
+    return _files(spark, location).select("path", "length", "modificationTime")
+
+
+def read_files(spark: SparkSession, root: str) -> DataFrame:
+    """Snapshot rows of a tree: relative path and bytes of each file. A file that
+    vanishes or cannot be read is left out."""
+    empty = empty_files(spark, root).select("relative_path", F.lit(b"").alias("file_content"))
+    return _contents(_files(spark, root), root).unionByName(empty)
+
+
+def read_some_files(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
+    """The same for a few files, given by relative path; no other file is opened."""
+    listed = list_files(spark, root).filter(F.col("relative_path").isin(names))
+    found = listed.select("relative_path", "path", "length").collect()
+    rows = spark.createDataFrame([(f.relative_path, b"") for f in found if not f.length], schemas.SNAPSHOT)
+    filled = [f.path for f in found if f.length]
+    return rows.unionByName(_contents(_files(spark, filled), root)) if filled else rows
+
 
-    A file that vanishes or cannot be read is left out. ``only`` narrows the read to
-    the given full paths, so no other file is opened.
-    """
-    return _files(spark, root if only is None else only).select(
+def _contents(files: DataFrame, root: str) -> DataFrame:
+    return files.select(
         relative_to(F.col("path"), root).alias("relative_path"), F.col("content").alias("file_content")
     )
