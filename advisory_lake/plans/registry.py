@@ -129,8 +129,7 @@ def arrival_progress(feed: Feeds) -> DataFrame:
 def arrival_progress_stream(feed: Feeds) -> DataFrame:
     checkpoint = feed.new_folder("arrivals")
     name = "arrivals_" + checkpoint.rpartition("-")[2]
-    arrival.count_arrivals(feed.spark, feed.document_tree, name, checkpoint).awaitTermination()
-    return feed.spark.table(name)
+    return arrival.count_until_now(feed.spark, feed.document_tree, name, checkpoint)
 
 
 # Bronze

@@ -19,8 +19,9 @@ _local_folder: tempfile.TemporaryDirectory | None = None
 
 
 def build_session(app_name: str = "advisory-lake", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the zone pinned to UTC; keyword settings use ``__`` for dots."""
-    builder = SparkSession.builder.appName(app_name).config(ZONE_KEY, "UTC")
+    """A session in UTC whose scan tasks take many small files at once; keyword settings
+    use ``__`` for dots."""
+    builder = SparkSession.builder.appName(app_name).config(ZONE_KEY, "UTC").config(OPEN_COST_KEY, "64k")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -56,10 +57,14 @@ def small_file_scans(spark: SparkSession, files_per_task: int = 5000):
     return settings(spark, {OPEN_COST_KEY: max(1, conf_bytes(spark, SPLIT_BYTES_KEY) // files_per_task)})
 
 
-def modest_listing(spark: SparkSession, tasks_per_core: int = 4):
+def few_tasks(spark: SparkSession, per_core: int = 4) -> int:
+    """A number of tasks for work with many tiny items."""
+    return per_core * spark.sparkContext.defaultParallelism
+
+
+def modest_listing(spark: SparkSession):
     """List folders in a few tasks per core rather than one task per folder."""
-    tasks = min(int(spark.conf.get(LISTING_TASKS_KEY)), tasks_per_core * spark.sparkContext.defaultParallelism)
-    return settings(spark, {LISTING_TASKS_KEY: tasks})
+    return settings(spark, {LISTING_TASKS_KEY: min(int(spark.conf.get(LISTING_TASKS_KEY)), few_tasks(spark))})
 
 
 def conf_bytes(spark: SparkSession, key: str) -> int:

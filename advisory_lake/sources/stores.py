@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from advisory_lake.session import few_tasks
+
 
 def arrow_uri(root: str) -> str:
     for spark_scheme, scheme in (("s3a://", "s3://"), ("s3n://", "s3://")):
@@ -15,14 +17,14 @@ def arrow_uri(root: str) -> str:
     return root.rstrip("/")
 
 
-def empty_files(spark: SparkSession, root: str, tasks_per_core: int = 4) -> DataFrame:
+def empty_files(spark: SparkSession, root: str) -> DataFrame:
     """Zero-length files below ``root``: relative_path, modificationTime.
 
     Spark's file sources give no row for these. The driver opens folders from the top
     only until there is one for every task; the tasks walk on from there.
     """
     uri = arrow_uri(root)
-    tasks = tasks_per_core * spark.sparkContext.defaultParallelism
+    tasks = few_tasks(spark)
     folders = spark.createDataFrame(_starting_folders(uri, tasks), "folder STRING, walk BOOLEAN")
     return folders.repartition(tasks, "folder").mapInArrow(
         _empty_file_finder(uri), "relative_path STRING, modificationTime TIMESTAMP"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from advisory_lake import schemas
 from advisory_lake.functions.paths import join_path, relative_to
-from advisory_lake.session import modest_listing
+from advisory_lake.session import few_tasks, modest_listing
 from advisory_lake.sources.stores import empty_files
 
 
@@ -30,11 +30,11 @@ def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """One row per file below ``root``; no content is read."""
+    """One row per file below ``root``; no content is read, so a few tasks are enough."""
     listed = _files(spark, root).select(
         relative_to(F.col("path"), root).alias("relative_path"), "path", "length", "modificationTime"
     )
-    return listed.unionByName(
+    return listed.coalesce(few_tasks(spark)).unionByName(
         empty_files(spark, root).select(
             "relative_path",
             join_path(root, F.col("relative_path")).alias("path"),

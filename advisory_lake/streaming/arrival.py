@@ -37,12 +37,21 @@ def count_arrivals(
     """
     counted = arriving_files(spark, root, files_per_trigger).agg(F.count(F.lit(1)).alias("found"))
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    writer = (
+    return (
         counted.writeStream.format("memory")
         .queryName(name)
         .outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
+        .start()
     )
-    with modest_listing(spark), small_file_scans(spark):  # the query keeps the settings it starts with
-        return writer.start()
+
+
+def count_until_now(
+    spark: SparkSession, root: str, name: str, checkpoint: str, files_per_trigger: int | None = None
+) -> DataFrame:
+    """Count what has arrived since the checkpoint's last run, and end. The source lists
+    each new file by its path, which wants few tasks with many files each."""
+    with modest_listing(spark), small_file_scans(spark):
+        count_arrivals(spark, root, name, checkpoint, files_per_trigger).awaitTermination()
+    return spark.table(name)

@@ -5,7 +5,7 @@ import pytest
 from advisory_lake.functions import paths
 from advisory_lake.operators import inventory, partitioning
 from advisory_lake.sources.tree import list_files, list_files_if_present
-from advisory_lake.streaming.arrival import count_arrivals
+from advisory_lake.streaming.arrival import count_arrivals, count_until_now
 
 
 def write(root, *names):
@@ -53,8 +53,7 @@ def test_stream_counts_in_several_batches_and_resumes(spark, folder):
     assert spark.table("arrived").first().found == 5
     assert len([p for p in query.recentProgress if p.numInputRows]) == 3
     write(root, "late/1.json", "late/2.json", ".hidden.part")
-    count_arrivals(spark, root, "arrived_again", checkpoint).awaitTermination()
-    assert spark.table("arrived_again").first().found == 7
+    assert count_until_now(spark, root, "arrived_again", checkpoint).first().found == 7
 
 
 def test_path_functions(spark):
