@@ -13,6 +13,10 @@ from advisory_lake.functions.scalars import named
 VENDOR_PLACEHOLDERS = ["n/a", "N/A"]
 PRODUCT_PLACEHOLDERS = ["n/a", "N/A", "Unknown"]
 
+# How the table counts name the two tables.
+CVES_LABEL = "CVEs Table"
+AFFECTED_LABEL = "Affected Products Table"
+
 TOP_VENDORS = 25
 TOP_PRODUCTS = 10
 
@@ -55,7 +59,7 @@ def table_counts(cves: DataFrame, affected: DataFrame) -> DataFrame:
             F.lit(label).alias("table_name"), "record_count"
         )
 
-    return labelled(cves, "CVEs Table").unionByName(labelled(affected, "Affected Products Table"))
+    return labelled(cves, CVES_LABEL).unionByName(labelled(affected, AFFECTED_LABEL))
 
 
 def preview(df: DataFrame, key: str, rows: int) -> DataFrame:

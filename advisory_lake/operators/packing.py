@@ -145,7 +145,11 @@ def _file_writer(uri: str):
                 with store.open_output_stream(place) as out:
                     out.write(body)
                 if renames:
-                    store.move(place, target)
+                    try:
+                        store.move(place, target)
+                    except OSError:  # not every store renames onto an existing file
+                        store.delete_file(target)
+                        store.move(place, target)
                 size += body.size
             yield pa.RecordBatch.from_pydict(
                 {

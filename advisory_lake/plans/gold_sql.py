@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from advisory_lake.operators.gold import TOP_PRODUCTS, TOP_VENDORS
+from advisory_lake.operators.gold import AFFECTED_LABEL, CVES_LABEL, TOP_PRODUCTS, TOP_VENDORS
 
 CVES = "cve_silver.cves"
 AFFECTED = "cve_silver.affected_products"
 
 TABLE_COUNTS = """
-SELECT 'CVEs Table' AS table_name, count(*) AS record_count FROM IDENTIFIER(:cves)
+SELECT :cves_label AS table_name, count(*) AS record_count FROM IDENTIFIER(:cves)
 UNION ALL
-SELECT 'Affected Products Table', count(*) FROM IDENTIFIER(:affected)
+SELECT :affected_label, count(*) FROM IDENTIFIER(:affected)
 """
 
 TOP_VENDORS_SQL = """
@@ -48,7 +48,8 @@ GROUP BY publication_month ORDER BY publication_month
 
 
 def table_counts(spark: SparkSession, cves: str = CVES, affected: str = AFFECTED) -> DataFrame:
-    return spark.sql(TABLE_COUNTS, {"cves": cves, "affected": affected})
+    labels = {"cves_label": CVES_LABEL, "affected_label": AFFECTED_LABEL}
+    return spark.sql(TABLE_COUNTS, {"cves": cves, "affected": affected, **labels})
 
 
 def top_vendors(spark: SparkSession, affected: str = AFFECTED, k: int = TOP_VENDORS) -> DataFrame:

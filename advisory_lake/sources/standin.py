@@ -119,9 +119,10 @@ def record_snapshot(orders: DataFrame) -> DataFrame:
 
 
 def document_snapshot(documents: DataFrame) -> DataFrame:
-    """Whole texts as packed files: language as the year folder, some names that are not
-    JSON, some paths with backslashes."""
+    """Whole texts as packed files: language as the year folder, at most a thousand files
+    in a folder, some names that are not JSON, some paths with backslashes."""
     separator = SEPARATOR.format(column="source", value="src0")
+    folder = "concat(doc_id div 1000, 'xxx')"
     name = "concat(doc_id, CASE WHEN source = 'src3' THEN '.md' ELSE '.json' END)"
-    path = f"concat_ws({separator}, 'cves', lang, source, {name})"
+    path = f"concat_ws({separator}, 'cves', lang, source, {folder}, {name})"
     return documents.selectExpr(f"{path} AS relative_path", "encode(text, 'UTF-8') AS file_content")
