@@ -41,14 +41,14 @@ def unpack(snapshot: DataFrame, root: str, tasks: int | None = None) -> DataFram
 
     Lazy: the files appear when the result is consumed. ``root`` must be a folder every
     executor sees. A retried or speculative task is harmless: each file is written under
-    a private hidden name and then moved into place. ``tasks`` adds a shuffle to that
-    many tasks; leave it out when the snapshot's own splits are enough.
+    a private hidden name and then moved into place. ``tasks`` adds a shuffle by path to
+    that many tasks; leave it out when the snapshot's own splits are enough.
     """
     rows = snapshot.select(
         checked_relative(clean_path(F.col("relative_path"))).alias("relative_path"), "file_content"
     )
     if tasks:
-        rows = rows.repartition(tasks)
+        rows = rows.repartition(tasks, "relative_path")
     return rows.mapInArrow(_file_writer(arrow_uri(root)), WRITTEN_DDL)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OUTPUT_FILES = 16
@@ -27,10 +27,11 @@ def spread_partitions(df: DataFrame, files: int = OUTPUT_FILES) -> DataFrame:
     return df.repartition(files)
 
 
-def even_partitions(df: DataFrame) -> DataFrame:
+def even_partitions(df: DataFrame, key: Column) -> DataFrame:
     """Partitions of the session's advisory size, sized while the job runs: small ones
-    are merged and large ones split."""
-    return df.hint("rebalance")
+    are merged and large ones split. Placing rows by a key spares the sort that a
+    round-robin shuffle needs to be repeatable."""
+    return df.hint("rebalance", key)
 
 
 def partition_sizes(df: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ the same data for every query.
 
 from __future__ import annotations
 
-import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,6 @@ from advisory_lake.sources import standin
 from advisory_lake.sources.snapshot import read_snapshot, write_snapshot
 
 _feeds: dict[tuple[str, str, str], Feeds] = {}
-_lock = threading.RLock()
 
 
 class Feeds:
@@ -86,10 +84,9 @@ class Feeds:
 def feeds(spark: SparkSession, tables_dir: str) -> Feeds:
     """The feeds of this session for these tables, new ones when a table file changed."""
     key = (spark.conf.get("spark.app.id"), tables_dir, _fingerprint(spark, tables_dir))
-    with _lock:
-        if key not in _feeds:
-            _feeds[key] = Feeds(spark, tables_dir)
-        return _feeds[key]
+    if key not in _feeds:
+        _feeds[key] = Feeds(spark, tables_dir)
+    return _feeds[key]
 
 
 def _fingerprint(spark: SparkSession, tables_dir: str) -> str:

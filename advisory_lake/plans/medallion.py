@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from advisory_lake.operators import bronze, quality, silver
 from advisory_lake.operators.partitioning import even_partitions
@@ -55,7 +56,7 @@ class Lake:
     def _write_bronze(self, kept: DataFrame) -> DataFrame:
         # Few rows are left of what was read: spread them evenly over right-sized files
         # while the read keeps its own parallelism.
-        return self.write(even_partitions(kept), self.records)
+        return self.write(even_partitions(kept, F.col("cveMetadata.cveId")), self.records)
 
     def build_silver(self) -> tuple[DataFrame, DataFrame]:
         """Write both silver tables; neither needs a shuffle."""

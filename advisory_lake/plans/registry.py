@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +24,14 @@ YEAR = standin.PUBLICATION_YEAR
 MIN_ROWS = 100
 
 _queries: dict[str, Query] = {}
+_lock = threading.RLock()  # feeds are built and settings changed by one caller at a time
 
 
 def query(body: Callable[[Feeds], DataFrame]) -> Callable[[Feeds], DataFrame]:
     """Register under the function's name; planned in UTC."""
 
     def run(spark: SparkSession, tables_dir: str) -> DataFrame:
-        with utc(spark):
+        with _lock, utc(spark):
             return body(feeds(spark, tables_dir))
 
     _queries[body.__name__] = run

@@ -58,8 +58,9 @@ def small_file_scans(spark: SparkSession, files_per_task: int = 5000):
 
 
 def few_tasks(spark: SparkSession, per_core: int = 4) -> int:
-    """A number of tasks for work with many tiny items."""
-    return per_core * spark.sparkContext.defaultParallelism
+    """A number of tasks for work with many tiny items; a cluster that starts small and
+    grows still gets a fair number."""
+    return max(32, per_core * spark.sparkContext.defaultParallelism)
 
 
 def modest_listing(spark: SparkSession):

@@ -150,5 +150,5 @@ def test_shuffle_only_when_the_scan_is_narrow(spark, packed, tmp_path):
     wide = packing.unpack_snapshot(spark, packed, str(tmp_path / "x"), at_least=width)
     from conftest import plan_of
 
-    assert "RoundRobinPartitioning" in plan_of(narrow)
+    assert "hashpartitioning(relative_path" in plan_of(narrow)
     assert "Exchange" not in plan_of(wide)

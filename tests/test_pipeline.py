@@ -40,6 +40,23 @@ def test_replacing_a_table_replaces_its_schema(spark, lake):
     assert again.columns == ["a", "b"] and again.count() == 1
 
 
+def test_tables_of_an_earlier_session_are_overwritten(spark, lake):
+    lake.write(spark.range(3), lake.cves)
+    spark.sql(f"DROP TABLE {lake.cves}")  # a new session's catalog is empty, the files are there
+    assert lake.write(spark.range(5), lake.cves).count() == 5
+
+
+def test_bronze_is_spread_by_id(spark, lake):
+    from conftest import plan_of
+    from pyspark.sql import functions as F
+
+    from advisory_lake.operators.partitioning import even_partitions
+
+    table = lake.ingest_snapshot(feeds(spark, SMALL).record_snapshot, 1998)
+    text = plan_of(even_partitions(table, F.col("cveMetadata.cveId")))
+    assert "REBALANCE_PARTITIONS_BY_COL" in text and "RoundRobin" not in text
+
+
 def test_table_detail(spark, lake):
     lake.write(spark.range(10).repartition(2), lake.cves)
     row = tables.table_detail(spark, lake.cves).first()
