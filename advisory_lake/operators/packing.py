@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from advisory_lake.functions.paths import checked_relative, clean_path, join_path, parent_dir
 from advisory_lake.session import small_file_scans
 from advisory_lake.sources.snapshot import ROWS_PER_FILE, read_snapshot, scan_width, write_snapshot
-from advisory_lake.sources.stores import arrow_uri
-from advisory_lake.sources.tree import read_files, read_some_files
+from advisory_lake.sources.stores import add_file_digests, arrow_uri
+from advisory_lake.sources.tree import read_files
 
 PARALLEL_TASKS = 200
 SAMPLE_SIZE = 100
@@ -99,18 +99,16 @@ def sample_paths(snapshot: DataFrame, size: int = SAMPLE_SIZE, seed: str = "0")
     return snapshot.select("relative_path").orderBy(order, "relative_path").limit(size)
 
 
-def verify_sample(
-    spark: SparkSession, snapshot: DataFrame, root: str, size: int = SAMPLE_SIZE, seed: str = "0"
-) -> DataFrame:
+def verify_sample(snapshot: DataFrame, root: str, size: int = SAMPLE_SIZE, seed: str = "0") -> DataFrame:
     """Compare the sampled files only: relative_path, matches.
 
-    The names of the sample (``size`` of them at most) pass through the driver, so that
-    no other packed content is compared and no other file of the tree is opened.
+    The sample is at most ``size`` names, small enough to broadcast. The tree is neither
+    listed nor read beyond the files it names.
     """
-    names = [row.relative_path for row in sample_paths(snapshot, size, seed).collect()]
-    packed = snapshot.filter(F.col("relative_path").isin(names))
-    found = read_some_files(spark, root, [name.replace("\\", "/") for name in names])
-    return _digests(packed, "packed").join(_digests(found, "found"), "relative_path", "left").select(
+    sample = F.broadcast(sample_paths(snapshot, size, seed))
+    packed = _digests(snapshot.join(sample, "relative_path", "left_semi"), "packed")
+    named = packed.withColumn("relative_path", checked_relative(F.col("relative_path")))
+    return add_file_digests(named, root).select(
         "relative_path", F.col("packed").eqNullSafe(F.col("found")).alias("matches")
     )
 

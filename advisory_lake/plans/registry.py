@@ -88,7 +88,7 @@ def snapshot_content_verify(feed: Feeds) -> DataFrame:
 @query
 def snapshot_sample_verify(feed: Feeds) -> DataFrame:
     packed = snapshot.read_snapshot(feed.spark, feed.document_snapshot)
-    return packing.verify_sample(feed.spark, packed, feed.document_tree)
+    return packing.verify_sample(packed, feed.document_tree)
 
 
 @query

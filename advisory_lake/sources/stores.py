@@ -1,5 +1,5 @@
 """Folders as Arrow's file systems name them, for work that Spark's sources do not do:
-writing single files and finding empty ones."""
+writing or checking single files and finding empty ones."""
 
 from __future__ import annotations
 
@@ -31,6 +31,41 @@ def empty_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def add_file_digests(named: DataFrame, root: str) -> DataFrame:
+    """Add the SHA-256 of the file below ``root`` that each row names, null when it cannot
+    be read: relative_path, packed, found. For a few files out of a large tree."""
+    return named.select("relative_path", "packed").mapInArrow(
+        _file_digester(arrow_uri(root)), "relative_path STRING, packed STRING, found STRING"
+    )
+
+
+def _file_digester(uri: str):
+    # A closure with its own imports: workers need no copy of this package.
+    def digest(batches):
+        import hashlib
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(uri)
+
+        def of_file(path):
+            try:
+                with store.open_input_stream(f"{base}/{path}", compression=None) as file:
+                    known = hashlib.sha256()
+                    while chunk := file.read(1 << 20):
+                        known.update(chunk)
+                return known.hexdigest()
+            except OSError:
+                return None
+
+        for batch in batches:
+            found = pa.array([of_file(path) for path in batch.column(0).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=["relative_path", "packed", "found"])
+
+    return digest
+
+
 def _starting_folders(uri: str, enough: int) -> list[tuple[str, bool]]:
     """Folders to look into without and with those below them."""
     from pyarrow import fs

@@ -18,7 +18,7 @@ from advisory_lake.session import few_tasks, modest_listing
 from advisory_lake.sources.stores import empty_files
 
 
-def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def _files(spark: SparkSession, root: str) -> DataFrame:
     reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -26,7 +26,7 @@ def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .option("ignoreCorruptFiles", True)
     )
     with modest_listing(spark):
-        return reader.load(paths)
+        return reader.load(root)
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -62,20 +62,7 @@ def data_files(spark: SparkSession, location: str) -> DataFrame:
 def read_files(spark: SparkSession, root: str) -> DataFrame:
     """Snapshot rows of a tree: relative path and bytes of each file. A file that
     vanishes or cannot be read is left out."""
-    empty = empty_files(spark, root).select("relative_path", F.lit(b"").alias("file_content"))
-    return _contents(_files(spark, root), root).unionByName(empty)
-
-
-def read_some_files(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
-    """The same for a few files, given by relative path; no other file is opened."""
-    listed = list_files(spark, root).filter(F.col("relative_path").isin(names))
-    found = listed.select("relative_path", "path", "length").collect()
-    rows = spark.createDataFrame([(f.relative_path, b"") for f in found if not f.length], schemas.SNAPSHOT)
-    filled = [f.path for f in found if f.length]
-    return rows.unionByName(_contents(_files(spark, filled), root)) if filled else rows
-
-
-def _contents(files: DataFrame, root: str) -> DataFrame:
-    return files.select(
+    filled = _files(spark, root).select(
         relative_to(F.col("path"), root).alias("relative_path"), F.col("content").alias("file_content")
     )
+    return filled.unionByName(empty_files(spark, root).select("relative_path", F.lit(b"").alias("file_content")))

@@ -109,21 +109,29 @@ def test_verification_sees_changed_missing_and_extra_files(spark, packed, root):
 
 def test_sample_verification(spark, packed, root):
     given = read_snapshot(spark, packed)
-    ok = packing.verify_sample(spark, given, root, size=100)
+    ok = packing.verify_sample(given, root, size=100)
     assert sorted(r.relative_path for r in ok.collect()) == sorted(CONTENT)
     assert all(r.matches for r in ok.collect())
     Path(root, "cves/2024/a.json").write_bytes(b"changed")
     Path(root, "README.md").unlink()
-    wrong = packing.verify_sample(spark, given, root, size=100).filter("NOT matches").collect()
+    wrong = packing.verify_sample(given, root, size=100).filter("NOT matches").collect()
     assert sorted(r.relative_path for r in wrong) == ["README.md", "cves/2024/a.json"]
 
 
 def test_sample_of_an_empty_tree(spark, packed, tmp_path):
     (tmp_path / "bare").mkdir()
-    rows = packing.verify_sample(spark, read_snapshot(spark, packed), str(tmp_path / "bare"), size=4).collect()
+    rows = packing.verify_sample(read_snapshot(spark, packed), str(tmp_path / "bare"), size=4).collect()
     assert len(rows) == 4 and not any(r.matches for r in rows)
 
 
+def test_sample_reads_compressed_names_as_they_are(spark, tmp_path):
+    import gzip
+
+    rows = spark.createDataFrame([("a/x.gz", gzip.compress(b"x"))], "relative_path STRING, file_content BINARY")
+    packing.unpack(rows, str(tmp_path / "t")).collect()
+    assert packing.verify_sample(rows, str(tmp_path / "t")).first().matches
+
+
 def test_sample_is_repeatable_and_follows_the_seed(spark, packed):
     def take(seed):
         return [r[0] for r in packing.sample_paths(read_snapshot(spark, packed), 3, seed).collect()]

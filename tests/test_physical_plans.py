@@ -11,11 +11,12 @@ from advisory_lake.sources.tree import list_files
 
 SMALL = "/root/testdata/sf0.001"
 QUERIES = registry.all_queries()
-# writing single files, and finding empty ones, which no Spark source lists
+# writing and checking single files, and finding empty ones, which no Spark source lists
 WITH_PYTHON = {
     "snapshot_unpack",
     "snapshot_row_parity",
     "snapshot_content_verify",
+    "snapshot_sample_verify",
     "file_inventory",
     "files_per_year",
     "files_total",
