@@ -63,7 +63,8 @@ FILES = """
 files AS (
   SELECT replace(packed_path, '\\', '/') AS clean_path, packed_path, size_bytes, lang
   FROM (
-    SELECT 'cves' || sep || lang || sep || source || sep || (doc_id // 1000) || 'xxx' || sep || doc_id || ext AS packed_path, size_bytes, lang
+    SELECT size_bytes, lang,
+      'cves' || sep || lang || sep || source || sep || (doc_id // 1000) || 'xxx' || sep || doc_id || ext AS packed_path
     FROM (
       SELECT doc_id, lang, source, octet_length(encode(text)) AS size_bytes,
         CASE WHEN source = 'src0' THEN '\\' ELSE '/' END AS sep,

@@ -3,6 +3,8 @@ writing or checking single files and finding empty ones."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from advisory_lake.session import few_tasks
@@ -14,7 +16,7 @@ def arrow_uri(root: str) -> str:
             return scheme + root.removeprefix(spark_scheme).rstrip("/")
     if root.startswith("file:"):
         return "/" + root.removeprefix("file:").strip("/")
-    return root.rstrip("/")
+    return root.rstrip("/") if ":" in root else os.path.abspath(root)
 
 
 def empty_files(spark: SparkSession, root: str) -> DataFrame:
@@ -77,7 +79,7 @@ def _starting_folders(uri: str, enough: int) -> list[tuple[str, bool]]:
         waiting = [
             entry.path
             for folder in waiting
-            for entry in store.get_file_info(fs.FileSelector(folder))
+            for entry in store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
             if entry.type == fs.FileType.Directory and entry.base_name[:1] not in (".", "_")
         ]
     return [(folder, False) for folder in opened] + [(folder, True) for folder in waiting]

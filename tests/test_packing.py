@@ -73,6 +73,12 @@ def test_pack_is_gzip_with_bounded_rows_per_file(spark, root, tmp_path):
     assert max(r[0] for r in again.groupBy("_metadata.file_name").count().select("count").collect()) <= 2
 
 
+def test_relative_roots(spark, packed, tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    packing.unpack(read_snapshot(spark, packed), "here/tree").collect()
+    assert on_disk(tmp_path / "here/tree") == CONTENT
+
+
 def test_file_uri_roots(spark, packed, tmp_path):
     target = f"file:{tmp_path}/uri"
     packing.unpack(read_snapshot(spark, packed), target).collect()

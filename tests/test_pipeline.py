@@ -100,7 +100,9 @@ def test_a_local_session_gets_its_own_folder():
     assert first == session.shared_folder(Settings(**{"spark.master": "local[2]"}))
 
 
-@pytest.mark.parametrize("text, size", [("128MB", 128 << 20), ("4194304b", 4 << 20), ("4194304", 4 << 20), ("2g", 2 << 30)])
+@pytest.mark.parametrize(
+    "text, size", [("128MB", 128 << 20), ("4194304b", 4 << 20), ("4194304", 4 << 20), ("2g", 2 << 30)]
+)
 def test_size_settings(text, size):
     assert session.conf_bytes(Settings(key=text), "key") == size
 
