@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from advisory_lake.llm import bpe, secrets
+from advisory_lake.llm import bpe, minhash, secrets
 from advisory_lake.llm.shared import table
 
 
@@ -16,9 +16,14 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_private_key", "n_signed_token")
 
 
+def op8_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_secret_scans, op9_bpe_round_trip)}
+    return {f.__name__: f for f in (op7_secret_scans, op8_minhash_near_duplicates, op9_bpe_round_trip)}

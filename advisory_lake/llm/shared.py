@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,6 +16,23 @@ from pyspark.sql import functions as F
 from advisory_lake.session import run_folder
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once per application; they need no copy of it before."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parent.parent
+    handle, path = tempfile.mkstemp(prefix="advisory-lake-", suffix=".zip")
+    with os.fdopen(handle, "wb") as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(top.rglob("*.py")):
+            archive.write(source, source.relative_to(top.parent))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,6 +46,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def id_and_text(docs: DataFrame) -> DataFrame:
     """doc_id and text alone, so that other columns of any name do not matter."""
+    ship_package(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
