@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from advisory_lake.llm import bpe, minhash, secrets
+from advisory_lake.llm import bpe, minhash, secrets, substring
 from advisory_lake.llm.shared import table
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removed_words(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_private_key", "n_signed_token")
@@ -26,4 +30,4 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_secret_scans, op8_minhash_near_duplicates, op9_bpe_round_trip)}
+    return {f.__name__: f for f in (op6_substring_dedup, op7_secret_scans, op8_minhash_near_duplicates, op9_bpe_round_trip)}

@@ -52,7 +52,8 @@ def id_and_text(docs: DataFrame) -> DataFrame:
 
 def text_key() -> Column:
     """Tells rows that repeat a doc_id with another text apart; null text has a key too."""
-    return F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull())
+    text = F.col("text").cast("string")
+    return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
