@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from advisory_lake.llm import bpe, minhash, secrets, substring, topk
+from advisory_lake.llm import bpe, minhash, secrets, substring, topk, warc
 from advisory_lake.llm.shared import table
 
 
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages")).drop("digest_agrees")
+
+
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.whole_vectors(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
@@ -35,4 +39,4 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_top_k, op6_substring_dedup, op7_secret_scans, op8_minhash_near_duplicates, op9_bpe_round_trip)}
+    return {f.__name__: f for f in (op1_warc_round_trip, op2_exact_top_k, op6_substring_dedup, op7_secret_scans, op8_minhash_near_duplicates, op9_bpe_round_trip)}

@@ -2,6 +2,20 @@
 
 from __future__ import annotations
 
+OP1 = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), grouped AS (
+  SELECT *, strlen(payload) AS payload_bytes,
+    CASE WHEN strlen(payload) >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS least
+  FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN least IS NULL OR page_id IS NOT DISTINCT FROM least THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM least THEN least END AS refers_to
+FROM grouped
+"""
+
 OP2 = """
 WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
@@ -20,4 +34,4 @@ SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_exact_top_k": OP2}
+    return {"op1_warc_round_trip": OP1, "op2_exact_top_k": OP2}
