@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from advisory_lake.llm import bpe, minhash, secrets, substring, topk, warc
+from advisory_lake.llm import bpe, minhash, packing, secrets, substring, topk, warc
 from advisory_lake.llm.shared import table
 
 
@@ -20,6 +20,10 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removed_words(table(spark, sf_dir, "documents"))
 
@@ -39,4 +43,9 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_warc_round_trip, op2_exact_top_k, op6_substring_dedup, op7_secret_scans, op8_minhash_near_duplicates, op9_bpe_round_trip)}
+    return {f.__name__: f for f in (
+        op1_warc_round_trip,
+        op2_exact_top_k,
+        op4_best_fit_packing,
+        op6_substring_dedup,
+        op7_secret_scans, op8_minhash_near_duplicates, op9_bpe_round_trip)}
