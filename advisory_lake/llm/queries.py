@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from advisory_lake.llm import bpe, minhash, packing, secrets, substring, topk, warc
+from advisory_lake.llm import bpe, minhash, packing, secrets, substring, topk, toxicity, warc
 from advisory_lake.llm.shared import table
 
 
@@ -42,10 +42,19 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (
+    registered = (
         op1_warc_round_trip,
         op2_exact_top_k,
         op4_best_fit_packing,
         op6_substring_dedup,
-        op7_secret_scans, op8_minhash_near_duplicates, op9_bpe_round_trip)}
+        op7_secret_scans,
+        op8_minhash_near_duplicates,
+        op9_bpe_round_trip,
+        op10_toxicity,
+    )
+    return {query.__name__: query for query in registered}
