@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from advisory_lake.llm import bpe, minhash, packing, secrets, substring, topk, toxicity, warc
+from advisory_lake.llm import bpe, html, minhash, packing, secrets, substring, topk, toxicity, warc
 from advisory_lake.llm.shared import table
 
 
@@ -24,6 +24,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removed_words(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_warc_round_trip,
         op2_exact_top_k,
         op4_best_fit_packing,
+        op5_html_extraction,
         op6_substring_dedup,
         op7_secret_scans,
         op8_minhash_near_duplicates,
