@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from advisory_lake.llm import bpe, html, minhash, packing, secrets, substring, topk, toxicity, warc
+from advisory_lake.llm import bpe, html, minhash, packing, quality, secrets, substring, topk, toxicity, warc
 from advisory_lake.llm.shared import table
 
 
@@ -20,6 +20,10 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -54,6 +58,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_warc_round_trip,
         op2_exact_top_k,
+        op3_quality_rules,
         op4_best_fit_packing,
         op5_html_extraction,
         op6_substring_dedup,
