@@ -7,8 +7,18 @@ from pyspark.sql import functions as F
 
 
 def instant(text: Column) -> Column:
-    """Timestamp of ISO text, null when it does not parse."""
-    return F.try_to_timestamp(text)
+    """Timestamp of ISO text, null when it does not parse. Text without a zone is in UTC,
+    whatever the session's zone is."""
+    day = text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$")
+    zoned = text.rlike(r"([zZ]|UTC|GMT|UT|[+-]\d{1,2}(:?\d{2}){0,2})\s*$")
+    complete = F.when(day, F.concat(F.trim(text), F.lit("T00:00:00Z"))).when(zoned, text)
+    return F.try_to_timestamp(complete.otherwise(F.concat(F.trim(text), F.lit("Z"))))
+
+
+def utc_wall_time(moment: Column) -> Column:
+    """What a clock in UTC shows at an instant, without a zone."""
+    seconds = (F.unix_micros(moment) / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01T00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def first_entry(array: Column) -> Column:

@@ -6,24 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from advisory_lake import schemas
-from advisory_lake.functions.scalars import instant
-from advisory_lake.sources.records import packed_json, parse_packed, parsed
+from advisory_lake.functions.scalars import instant, utc_wall_time
+from advisory_lake.sources.records import is_taken, lenient_text, parse_packed, parsed, taken
 
 PUBLICATION_YEAR = 2024
 
 
 def _published_year(metadata: Column) -> Column:
-    return F.year(instant(metadata["datePublished"]))
+    return F.year(utc_wall_time(instant(metadata["datePublished"])))
 
 
 def keep_published(records: DataFrame, year: int = PUBLICATION_YEAR) -> DataFrame:
-    """The year is that of the publication date, never that of the file's folder or id."""
+    """The year is that of the publication instant in UTC, never that of the folder or id."""
     metadata = F.col("cveMetadata")
     return records.filter(metadata["cveId"].isNotNull()).filter(_published_year(metadata) == year)
 
 
-def published_records(snapshot: DataFrame, year: int = PUBLICATION_YEAR) -> DataFrame:
-    """The kept records of a packed snapshot.
+def published_records(
+    snapshot: DataFrame, year: int = PUBLICATION_YEAR, folder: str = "", suffix: str = ""
+) -> DataFrame:
+    """The kept records of packed files: of all, or of those in a folder or with a suffix.
 
     A first, shallow parse looks at id and date only, so that the full parse is spent on
     the files that hold a wanted record.
@@ -34,7 +36,22 @@ def published_records(snapshot: DataFrame, year: int = PUBLICATION_YEAR) -> Data
         return metadata["cveId"].isNotNull() & (_published_year(metadata) == year)
 
     headers = parsed(F.col("file_content"), schemas.RECORD_HEADER)
-    return keep_published(parse_packed(packed_json(snapshot).filter(F.exists(headers, wanted))), year)
+    with lenient_text(snapshot.sparkSession):
+        files = taken(snapshot, folder, suffix).filter(F.exists(headers, wanted))
+    return keep_published(parse_packed(files), year)
+
+
+def files_summary(snapshot: DataFrame, folder: str = "", suffix: str = "") -> DataFrame:
+    """How many files ingest takes, leaves out, and finds no record in."""
+    records = F.coalesce(F.size(parsed(F.col("file_content"), schemas.RECORD_HEADER)), F.lit(0))
+    with lenient_text(snapshot.sparkSession):
+        counted = snapshot.select(is_taken(folder, suffix).alias("taken"), records.alias("n"))
+    return counted.agg(
+        F.count_if("taken").alias("files_taken"),
+        F.count_if(~F.col("taken")).alias("files_left_out"),
+        F.count_if(F.col("taken") & (F.col("n") <= 0)).alias("files_without_record"),
+        F.count_if(F.col("taken") & (F.col("n") > 1)).alias("files_with_several"),
+    )
 
 
 def reject_summary(records: DataFrame, year: int = PUBLICATION_YEAR) -> DataFrame:

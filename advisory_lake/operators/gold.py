@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from advisory_lake.functions.scalars import named
+from advisory_lake.functions.scalars import named, utc_wall_time
 
 # Placeholder texts each ranking leaves out. "Unknown" counts as a vendor.
 VENDOR_PLACEHOLDERS = ["n/a", "N/A"]
@@ -48,8 +48,8 @@ def severity_distribution(cves: DataFrame) -> DataFrame:
 
 
 def monthly_trend(cves: DataFrame) -> DataFrame:
-    """Publications per month, the month as a date."""
-    months = cves.withColumn("publication_month", F.trunc("date_published", "MM"))
+    """Publications per month of UTC, the month as a date."""
+    months = cves.withColumn("publication_month", F.trunc(utc_wall_time(F.col("date_published")), "MM"))
     return months.groupBy("publication_month").count().orderBy("publication_month")
 
 

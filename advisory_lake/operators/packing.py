@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from advisory_lake.functions.paths import checked_relative, clean_path, join_path, parent_dir
-from advisory_lake.session import small_file_scans
-from advisory_lake.sources.snapshot import ROWS_PER_FILE, read_snapshot, scan_width, write_snapshot
-from advisory_lake.sources.stores import add_file_digests, arrow_uri
+from advisory_lake.operators.quality import Check, enforce, run_checks
+from advisory_lake.sources.snapshot import ROWS_PER_FILE, read_snapshot, write_snapshot
+from advisory_lake.sources.stores import add_file_digests, arrow_uri, walk
 from advisory_lake.sources.tree import read_files
 
 PARALLEL_TASKS = 200
@@ -19,12 +19,27 @@ WRITTEN_DDL = "files_written LONG, bytes_written LONG"
 
 def pack_tree(spark: SparkSession, root: str, snapshot_path: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """Write every file below ``root`` into a snapshot and read it back. A task packs up
-    to ``rows_per_file`` files, so there is no shuffle and no swarm of small outputs."""
-    with small_file_scans(spark, rows_per_file):
-        write_snapshot(read_files(spark, root), snapshot_path, rows_per_file)
+    to ``rows_per_file`` files; names alone move, and there is no swarm of small outputs."""
+    write_snapshot(read_files(spark, root, rows_per_file), snapshot_path, rows_per_file)
     return read_snapshot(spark, snapshot_path)
 
 
+def pack_and_verify(
+    spark: SparkSession, root: str, snapshot_path: str, rows_per_file: int = ROWS_PER_FILE, sample: int = SAMPLE_SIZE
+) -> DataFrame:
+    """Pack a tree, hold the snapshot against the listing it was made from and a sample of its
+    files against the tree. Gives the checks, or raises when one fails."""
+    listing = walk(spark, root)
+    write_snapshot(read_files(spark, root, rows_per_file, listing), snapshot_path, rows_per_file)
+    packed = read_snapshot(spark, snapshot_path)
+    counted = run_checks(row_parity(packed, listing), Check("packed_rows", F.sum("packed_rows"), F.sum("tree_files")))
+    mismatched = F.coalesce(F.count_if(~F.col("matches")), F.lit(0))
+    sampled = run_checks(verify_sample(packed, root, sample), Check("sample_mismatches", mismatched, F.lit(0)))
+    report = counted.unionByName(sampled)
+    enforce(report)
+    return report
+
+
 def target_paths(snapshot: DataFrame, root: str) -> DataFrame:
     """Where each packed file belongs: its clean path, full path and parent folder."""
     clean = clean_path(F.col("relative_path"))
@@ -53,12 +68,23 @@ def unpack(snapshot: DataFrame, root: str, tasks: int | None = None) -> DataFram
 
 
 def unpack_snapshot(
-    spark: SparkSession, snapshot_path: str, root: str, at_least: int = PARALLEL_TASKS
+    spark: SparkSession, snapshot_path: str, root: str, tasks: int | None = PARALLEL_TASKS
 ) -> DataFrame:
-    """Unpack a stored snapshot on at least so many tasks, without moving the file
-    contents through a shuffle when the scan is already that wide."""
-    wide = scan_width(spark, snapshot_path) >= at_least
-    return unpack(read_snapshot(spark, snapshot_path), root, None if wide else at_least)
+    """Unpack a stored snapshot on so many tasks, which moves the contents through a shuffle; or
+    with ``tasks=None`` on the snapshot's own splits, which does not."""
+    packed = read_snapshot(spark, snapshot_path)
+    refuse_colliding_paths(packed)
+    return unpack(packed, root, tasks)
+
+
+def refuse_colliding_paths(snapshot: DataFrame) -> None:
+    """Raise when two packed names have one clean path: one file would overwrite the other."""
+    named = snapshot.select(clean_path(F.col("relative_path")).alias("clean_path"), "relative_path")
+    several = named.groupBy("clean_path").agg(
+        F.count(F.lit(1)).alias("n"), F.min("relative_path").alias("first"), F.max("relative_path").alias("last")
+    )
+    for row in several.where("n > 1").limit(1).collect():
+        raise ValueError(f"{row.n} packed names for {row.clean_path}: {row.first!r} and {row.last!r}")
 
 
 def written_totals(written: DataFrame) -> DataFrame:
@@ -102,11 +128,11 @@ def sample_paths(snapshot: DataFrame, size: int = SAMPLE_SIZE, seed: str = "0")
 def verify_sample(snapshot: DataFrame, root: str, size: int = SAMPLE_SIZE, seed: str = "0") -> DataFrame:
     """Compare the sampled files only: relative_path, matches.
 
-    The sample is at most ``size`` names, small enough to broadcast. The tree is neither
-    listed nor read beyond the files it names.
+    The sampled names are chosen first, from the path column alone, and pushed to the scan as a
+    filter. The tree is neither listed nor read beyond the files it names.
     """
-    sample = F.broadcast(sample_paths(snapshot, size, seed))
-    packed = _digests(snapshot.join(sample, "relative_path", "left_semi"), "packed")
+    names = [row.relative_path for row in sample_paths(snapshot, size, seed).collect()]
+    packed = _digests(snapshot.where(F.col("relative_path").isin(names)), "packed")
     named = packed.withColumn("relative_path", checked_relative(F.col("relative_path")))
     return add_file_digests(named, root).select(
         "relative_path", F.col("packed").eqNullSafe(F.col("found")).alias("matches")
@@ -127,6 +153,19 @@ def _file_writer(uri: str):
         import pyarrow as pa
         from pyarrow import fs
 
+        def put(store, place, target):
+            for attempt in range(5):
+                try:
+                    store.move(place, target)
+                    return
+                except OSError:  # not every store renames onto an existing file
+                    if attempt == 4:
+                        raise
+                    try:
+                        store.delete_file(target)
+                    except OSError:
+                        pass  # another attempt of this task was faster
+
         store, base = fs.FileSystem.from_uri(uri)
         renames = store.type_name not in ("s3", "gcs", "abfs")  # those publish whole objects
         folders = set()
@@ -143,11 +182,7 @@ def _file_writer(uri: str):
                 with store.open_output_stream(place) as out:
                     out.write(body)
                 if renames:
-                    try:
-                        store.move(place, target)
-                    except OSError:  # not every store renames onto an existing file
-                        store.delete_file(target)
-                        store.move(place, target)
+                    put(store, place, target)
                 size += body.size
             yield pa.RecordBatch.from_pydict(
                 {

@@ -83,7 +83,10 @@ class Feeds:
 
 def feeds(spark: SparkSession, tables_dir: str) -> Feeds:
     """The feeds of this session for these tables, new ones when a table file changed."""
-    key = (spark.conf.get("spark.app.id"), tables_dir, _fingerprint(spark, tables_dir))
+    application = spark.conf.get("spark.app.id")
+    for other in [key for key in _feeds if key[0] != application]:
+        del _feeds[other]
+    key = (application, tables_dir, _fingerprint(spark, tables_dir))
     if key not in _feeds:
         _feeds[key] = Feeds(spark, tables_dir)
     return _feeds[key]

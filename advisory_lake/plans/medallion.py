@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from advisory_lake.operators import bronze, quality, silver
 from advisory_lake.operators.partitioning import even_partitions
-from advisory_lake.session import small_file_scans, utc
+from advisory_lake.session import utc
 from advisory_lake.sources import tables
-from advisory_lake.sources.records import read_record_files
 from advisory_lake.sources.snapshot import read_snapshot
+from advisory_lake.sources.tree import read_files
 
 
 @dataclass(frozen=True)
@@ -43,15 +43,18 @@ class Lake:
         tables.replace_table(df, table, f"{self.folder}/{table.replace('.', '/')}", self.table_format)
         return tables.read_table(self.spark, table)
 
-    def ingest_snapshot(self, path: str, year: int = bronze.PUBLICATION_YEAR) -> DataFrame:
-        """Bronze straight from a packed snapshot, the way to take for large trees."""
-        with utc(self.spark):
-            return self._write_bronze(bronze.published_records(read_snapshot(self.spark, path), year))
+    def ingest_snapshot(
+        self, path: str, year: int = bronze.PUBLICATION_YEAR, folder: str = "", suffix: str = ""
+    ) -> DataFrame:
+        """Bronze straight from a packed snapshot, the way to take for large trees; from all
+        its files, or from those in a folder or with a suffix."""
+        return self._write_bronze(bronze.published_records(read_snapshot(self.spark, path), year, folder, suffix))
 
-    def ingest_tree(self, root: str, year: int = bronze.PUBLICATION_YEAR) -> DataFrame:
-        """Bronze from a tree with one record per file."""
-        with utc(self.spark), small_file_scans(self.spark):
-            return self._write_bronze(bronze.keep_published(read_record_files(self.spark, root), year))
+    def ingest_tree(
+        self, root: str, year: int = bronze.PUBLICATION_YEAR, folder: str = "", suffix: str = ""
+    ) -> DataFrame:
+        """Bronze from a tree of files, by the same rules."""
+        return self._write_bronze(bronze.published_records(read_files(self.spark, root), year, folder, suffix))
 
     def _write_bronze(self, kept: DataFrame) -> DataFrame:
         # Few rows are left of what was read: spread them evenly over right-sized files
@@ -72,10 +75,21 @@ class Lake:
 
 
 def run(
-    lake: Lake, snapshot_path: str, year: int = bronze.PUBLICATION_YEAR, min_rows: int = quality.MIN_ROWS
+    lake: Lake,
+    snapshot_path: str | None = None,
+    year: int = bronze.PUBLICATION_YEAR,
+    min_rows: int = quality.MIN_ROWS,
+    tree: str | None = None,
+    folder: str = "",
+    suffix: str = "",
 ) -> DataFrame:
-    """Snapshot to silver; gives back the report, or fails when a check does."""
-    lake.ingest_snapshot(snapshot_path, year)
+    """Snapshot or tree to silver; gives back the report, or fails when a check does."""
+    if (snapshot_path is None) == (tree is None):
+        raise ValueError("name a snapshot or a tree")
+    if tree is None:
+        lake.ingest_snapshot(snapshot_path, year, folder, suffix)
+    else:
+        lake.ingest_tree(tree, year, folder, suffix)
     lake.build_silver()
     report = lake.check(min_rows)
     quality.enforce(report)

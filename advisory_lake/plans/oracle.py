@@ -134,6 +134,9 @@ def all_sql() -> dict[str, str]:
         ),
         "snapshot_row_parity": "SELECT count(*) AS packed_rows, count(*) AS tree_files, true AS passed FROM documents",
         "snapshot_content_verify": "SELECT count(*) AS files_compared, 0::BIGINT AS mismatched FROM documents",
+        "snapshot_damage_verify": """
+            SELECT count(*) + count(*) FILTER (source = 'src4') AS files_compared,
+              count(*) FILTER (source IN ('src1', 'src2', 'src4')) AS mismatched FROM documents""",
         "snapshot_sample_verify": _with(
             FILES,
             """SELECT clean_path AS relative_path, true AS matches FROM (
@@ -158,6 +161,15 @@ def all_sql() -> dict[str, str]:
         "arrival_progress_stream": "SELECT count(*) AS found FROM documents",
         "bronze_ingest_files": _with(*kept, ENTRIES),
         "bronze_ingest_lines": _with(*kept, ENTRIES),
+        "bronze_ingest_encodings": _with(
+            *kept,
+            f"""SELECT e.* FROM ({ENTRIES}) e
+                UNION ALL SELECT e.* FROM ({ENTRIES} WHERE o_orderstatus = 'O') e""",
+        ),
+        "bronze_files_summary": """
+            SELECT count(*) FILTER (o_orderstatus <> 'O') AS files_taken,
+              count(*) FILTER (o_orderstatus = 'O') AS files_left_out,
+              0::BIGINT AS files_without_record, 0::BIGINT AS files_with_several FROM orders""",
         "bronze_records": _with(*kept, "SELECT cve_id, date_published_raw, title FROM kept"),
         "bronze_reject_summary": """
             SELECT count(*) AS rows_read,
@@ -195,6 +207,20 @@ def all_sql() -> dict[str, str]:
                UNION ALL SELECT 'silver_unique_ids', count(DISTINCT cve_id), count(*),
                  count(DISTINCT cve_id) = count(*) FROM cves""",
         ),
+        "dq_report_damaged": _with(
+            *cves,
+            """, damaged AS (
+                 SELECT cve_id FROM cves
+                 UNION ALL SELECT cve_id FROM cves WHERE cvss_severity = 'CRITICAL'
+                 UNION ALL SELECT NULL FROM cves WHERE cvss_severity = 'LOW')
+               SELECT 'bronze_row_count' AS check_name, count(*) AS observed, 10000000::BIGINT AS threshold,
+                 false AS passed FROM cves
+               UNION ALL SELECT 'silver_row_count', count(*), 10000000, false FROM damaged
+               UNION ALL SELECT 'silver_null_ids', count(*) FILTER (cve_id IS NULL), 0,
+                 count(*) FILTER (cve_id IS NULL) = 0 FROM damaged
+               UNION ALL SELECT 'silver_unique_ids', count(DISTINCT cve_id) + (count(*) FILTER (cve_id IS NULL) > 0)::INT,
+                 count(*), count(DISTINCT cve_id) + (count(*) FILTER (cve_id IS NULL) > 0)::INT = count(*) FROM damaged""",
+        ),
         "gold_table_counts": _with(*cves, AFFECTED, COUNTS),
         "gold_table_counts_sql": _with(*cves, AFFECTED, COUNTS),
         "gold_top_vendors": _with(*affected, VENDORS),

@@ -57,7 +57,8 @@ def snapshot_pack(feed: Feeds) -> DataFrame:
 @query
 def snapshot_preview(feed: Feeds) -> DataFrame:
     packed = snapshot.read_snapshot(feed.spark, feed.document_snapshot)
-    return gold.preview(_sizes(packed), "relative_path", 5)
+    first = [row.relative_path for row in gold.preview(packed.select("relative_path"), "relative_path", 5).collect()]
+    return gold.preview(_sizes(packed.where(F.col("relative_path").isin(first))), "relative_path", 5)
 
 
 @query
@@ -85,6 +86,17 @@ def snapshot_content_verify(feed: Feeds) -> DataFrame:
     return packing.content_totals(packing.compare_content(packed, files))
 
 
+@query
+def snapshot_damage_verify(feed: Feeds) -> DataFrame:
+    """Against files of which some changed, some are missing and some are extra."""
+    packed = snapshot.read_snapshot(feed.spark, feed.document_snapshot)
+    of = lambda source: F.col("relative_path").contains(source)
+    kept = packed.where(~of("src2/") & ~of("src2\\"))
+    changed = kept.withColumn("file_content", F.when(of("src1/"), F.lit(b"other")).otherwise(F.col("file_content")))
+    extra = packed.where(of("src4/")).withColumn("relative_path", F.concat("relative_path", F.lit(".extra")))
+    return packing.content_totals(packing.compare_content(packed, changed.unionByName(extra)))
+
+
 @query
 def snapshot_sample_verify(feed: Feeds) -> DataFrame:
     packed = snapshot.read_snapshot(feed.spark, feed.document_snapshot)
@@ -148,14 +160,26 @@ def _entries(kept: DataFrame) -> DataFrame:
 
 @query
 def bronze_ingest_files(feed: Feeds) -> DataFrame:
-    read = records.read_record_files(feed.spark, f"{feed.record_tree}/{records.RECORD_FOLDER}")
-    return _entries(bronze.keep_published(read, YEAR))
+    """From the tree, by the same rules as from a snapshot."""
+    return _entries(bronze.published_records(tree.read_files(feed.spark, feed.record_tree), YEAR))
 
 
 @query
 def bronze_ingest_lines(feed: Feeds) -> DataFrame:
-    read = records.read_record_files(feed.spark, feed.record_lines, multi_line=False)
-    return _entries(bronze.keep_published(read, YEAR))
+    return _entries(bronze.keep_published(records.read_record_lines(feed.spark, feed.record_lines), YEAR))
+
+
+@query
+def bronze_ingest_encodings(feed: Feeds) -> DataFrame:
+    """Documents with a byte-order mark, in UTF-16, and two to a file."""
+    packed = standin.odd_record_snapshot(feed.table("orders"))
+    return _entries(bronze.published_records(packed, YEAR))
+
+
+@query
+def bronze_files_summary(feed: Feeds) -> DataFrame:
+    """What ingest takes and leaves out of the same files, when asked for JSON names only."""
+    return bronze.files_summary(standin.odd_record_snapshot(feed.table("orders")), suffix=".json")
 
 
 @query
@@ -169,7 +193,7 @@ def bronze_records(feed: Feeds) -> DataFrame:
 
 @query
 def bronze_reject_summary(feed: Feeds) -> DataFrame:
-    packed = records.packed_json(snapshot.read_snapshot(feed.spark, feed.record_snapshot))
+    packed = snapshot.read_snapshot(feed.spark, feed.record_snapshot)
     return bronze.reject_summary(records.parse_packed(packed, schemas.RECORD_HEADER), YEAR)
 
 
@@ -262,6 +286,15 @@ def dq_report(feed: Feeds) -> DataFrame:
     return feed.lake.check(MIN_ROWS)
 
 
+@query
+def dq_report_damaged(feed: Feeds) -> DataFrame:
+    """The checks on a table with repeated ids, null ids and too few rows for its threshold."""
+    cves = _cves(feed)
+    repeated = cves.where("cvss_severity = 'CRITICAL'")
+    nameless = cves.where("cvss_severity = 'LOW'").withColumn("cve_id", F.lit(None).cast("string"))
+    return quality.quality_report(_cves(feed), cves.unionByName(repeated).unionByName(nameless), 10_000_000)
+
+
 # Gold
 
 

@@ -91,6 +91,21 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder.name
 
 
+_run_folders: dict[str, list[str]] = {}
+
+
 def run_folder(spark: SparkSession, label: str) -> str:
     """A new, unused folder name below the shared folder."""
-    return f"{shared_folder(spark)}/advisory-lake/{label}-{uuid.uuid4().hex[:12]}"
+    folder = f"{shared_folder(spark)}/advisory-lake/{label}-{uuid.uuid4().hex[:12]}"
+    _run_folders.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def remove_run_folders(spark: SparkSession) -> int:
+    """Delete what this application has written below run folders, once no frame that reads
+    them is needed any more; gives their number."""
+    folders = _run_folders.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(folders)

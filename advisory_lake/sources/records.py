@@ -1,4 +1,8 @@
-"""Nested JSON records, from a tree of files or straight from a packed snapshot."""
+"""Nested JSON records from the bytes of files, in a tree or a packed snapshot alike.
+
+A file may hold one document, compact or pretty-printed, an array of documents, or several
+documents one after another. A byte-order mark is dropped, and UTF-16 text is read as such.
+"""
 
 from __future__ import annotations
 
@@ -7,46 +11,70 @@ from pyspark.sql import functions as F
 
 from advisory_lake import schemas
 from advisory_lake.functions.paths import clean_path
-from advisory_lake.session import modest_listing
+from advisory_lake.session import modest_listing, settings
+from advisory_lake.sources.tree import read_files
 
 RECORD_FOLDER = "cves"
 
 
-def read_record_files(spark: SparkSession, root: str, multi_line: bool = True) -> DataFrame:
-    """Records of all ``*.json`` files below ``root``.
-
-    ``multi_line`` reads a file as one document, compact or pretty-printed (an array
-    gives a row per element). Without it each line is a document and large files split.
-    Text that is no record gives a row of nulls.
-    """
-    reader = (
-        spark.read.schema(schemas.RECORD)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .option("multiLine", multi_line)
-    )
+def read_record_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Records of files with one document per line, which split. Text that is no record gives
+    a row of nulls."""
+    reader = spark.read.schema(schemas.RECORD).option("recursiveFileLookup", True)
     with modest_listing(spark):
         return reader.json(root)
 
 
-def packed_json(snapshot: DataFrame, folder: str = RECORD_FOLDER) -> DataFrame:
-    """The packed JSON files of the record folder."""
+def read_record_files(spark: SparkSession, root: str, folder: str = "", suffix: str = "") -> DataFrame:
+    """Records of all files below ``root``, or of those in a folder or with a suffix; a row of
+    nulls for a file that holds no record."""
+    return parse_packed(taken(read_files(spark, root), folder, suffix))
+
+
+def taken(snapshot: DataFrame, folder: str = "", suffix: str = "") -> DataFrame:
+    """The files that ingest looks at: all, or those in a folder or with a suffix."""
+    return snapshot.filter(is_taken(folder, suffix))
+
+
+def is_taken(folder: str = "", suffix: str = "") -> Column:
+    """Whether a packed file is one that ingest looks at."""
     path = clean_path(F.col("relative_path"))
-    return snapshot.filter(path.startswith(f"{folder}/") & path.endswith(".json"))
+    inside = path.startswith(f"{folder.strip('/')}/") if folder.strip("/") else F.lit(True)
+    return F.coalesce(inside & path.endswith(suffix), F.lit(False))
 
 
-def parsed(content: Column, schema: str = schemas.RECORD) -> Column:
-    """The records in a file's bytes, as an array.
+def text_of(content: Column) -> Column:
+    """A file's text: UTF-16 by its mark, else UTF-8 whose stray bytes become replacement
+    characters; the mark itself is no text."""
+    head = F.hex(F.substring(content, 1, 3))
+    body = F.substring(content, 3, 2_147_483_647)
+    return (
+        F.when(head.startswith("FFFE"), F.decode(body, "UTF-16LE"))
+        .when(head.startswith("FEFF"), F.decode(body, "UTF-16BE"))
+        .otherwise(F.make_valid_utf8(F.when(head == "EFBBBF", F.substring(content, 4, 2_147_483_647)).otherwise(content).cast("string")))
+    )
+
 
-    Parsing as an array accepts a single object as well, so both file shapes work.
-    Stray bytes become replacement characters; text that is no record gives null.
-    """
-    text = F.make_valid_utf8(content.cast("string"))
-    return F.from_json(text, f"ARRAY<STRUCT<{schema}>>")
+def documents_in(text: Column) -> Column:
+    """The text as one JSON array: documents on lines of their own become its elements. A line
+    break cannot stand inside a JSON string, so no text is touched."""
+    joined = F.regexp_replace(F.trim(text), r"\}[ \t]*[\r\n]\s*\{", "},{")
+    return F.when(joined.startswith("["), joined).otherwise(F.concat(F.lit("["), joined, F.lit("]")))
+
+
+def parsed(content: Column, schema: str = schemas.RECORD) -> Column:
+    """The records in a file's bytes, as an array; text that is no record gives null."""
+    return F.from_json(documents_in(text_of(content)), f"ARRAY<STRUCT<{schema}>>")
 
 
 def parse_packed(files: DataFrame, schema: str = schemas.RECORD) -> DataFrame:
-    """The records of packed JSON files without recreating any file; a row of nulls for
-    one that holds no record. ``schema`` may be any part of the record's."""
-    entries = files.select(F.explode_outer(parsed(F.col("file_content"), schema)).alias("record"))
+    """The records of files without recreating any; a row of nulls for one that holds no
+    record. ``schema`` may be any part of the record's."""
+    with lenient_text(files.sparkSession):
+        entries = files.select(F.explode_outer(parsed(F.col("file_content"), schema)).alias("record"))
     return entries.select("record.*")
+
+
+def lenient_text(spark: SparkSession):
+    """Plans made inside decode malformed text with replacement characters instead of failing."""
+    return settings(spark, {"spark.sql.legacy.codingErrorAction": "true"})

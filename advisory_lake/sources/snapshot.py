@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from advisory_lake import schemas
-from advisory_lake.session import OPEN_COST_KEY, SPLIT_BYTES_KEY, conf_bytes
-from advisory_lake.sources.tree import data_files
 
 ROWS_PER_FILE = 5000
 
 
 def write_snapshot(files: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Every file is sorted by path, so that looking for a few names skips most of the content."""
     (
         files.select("relative_path", "file_content")
+        .sortWithinPartitions("relative_path")
         .write.mode("overwrite")
         .option("compression", "gzip")
         .option("maxRecordsPerFile", rows_per_file)
@@ -26,13 +23,3 @@ def write_snapshot(files: DataFrame, path: str, rows_per_file: int = ROWS_PER_FI
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.SNAPSHOT).parquet(path)
-
-
-def scan_width(spark: SparkSession, path: str) -> int:
-    """Least number of tasks a scan of this snapshot gets: every file is its own split
-    unless Spark packs small ones together, which it never does beyond the split size."""
-    split, opening = conf_bytes(spark, SPLIT_BYTES_KEY), conf_bytes(spark, OPEN_COST_KEY)
-    weight = F.sum(F.col("length") + F.lit(opening))
-    total = data_files(spark, path).agg(weight.alias("weight")).first()["weight"] or 0
-    return max(1, math.ceil(total / split))
-

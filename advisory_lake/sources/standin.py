@@ -118,6 +118,23 @@ def record_snapshot(orders: DataFrame) -> DataFrame:
     return orders.selectExpr(f"{path} AS relative_path", f"encode({text}, 'UTF-8') AS file_content")
 
 
+def odd_record_snapshot(orders: DataFrame) -> DataFrame:
+    """The same documents as files of other kinds: with a byte-order mark for status F, in UTF-16
+    and under a name that starts with ``_`` for P, twice in a file named ``.jsonl`` for O."""
+    folder = "concat(o_orderkey div 1000, 'xxx')"
+    name = f"""
+        CASE o_orderstatus WHEN 'P' THEN concat('_', {RECORD_ID}, '.json')
+          WHEN 'O' THEN concat({RECORD_ID}, '.jsonl') ELSE concat({RECORD_ID}, '.json') END
+    """
+    text = f"to_json({DOCUMENT})"
+    content = f"""
+        CASE o_orderstatus WHEN 'F' THEN concat(X'EFBBBF', encode({text}, 'UTF-8'))
+          WHEN 'P' THEN concat(X'FFFE', encode({text}, 'UTF-16LE'))
+          ELSE encode(concat({text}, char(10), {text}), 'UTF-8') END
+    """
+    return orders.selectExpr(f"concat_ws('/', {folder}, {name}) AS relative_path", f"{content} AS file_content")
+
+
 def document_snapshot(documents: DataFrame) -> DataFrame:
     """Whole texts as packed files: language as the year folder, at most a thousand files
     in a folder, some names that are not JSON, some paths with backslashes."""

@@ -1,38 +1,164 @@
-"""Folders as Arrow's file systems name them, for work that Spark's sources do not do:
-writing or checking single files and finding empty ones."""
+"""File trees seen through Arrow's file systems: one walk that finds every file, and the
+reading and checking of single files.
+
+Spark's own file sources hold a tree's listing on the driver and leave out hidden and empty
+files. The walk here goes level by level: tasks open the folders of a level, and what they
+find is written to the shared folder, so that the driver holds no names and every later step
+sees the same moment. Listing one folder is one call; a folder's own files are in memory once.
+"""
 
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from advisory_lake.session import few_tasks
+from advisory_lake.session import few_tasks, run_folder
+
+# Hadoop's names of stores and Arrow's.
+ARROW_SCHEMES = {"s3": "s3", "s3a": "s3", "s3n": "s3", "hdfs": "hdfs", "viewfs": "viewfs", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+READ_BYTES = 16 << 20  # file contents that a task holds at once
+
+
+def qualified(spark: SparkSession, root: str) -> str:
+    """The path with scheme and authority, as Spark itself understands it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if path.isUriPathAbsolute() is False:
+        path = spark._jvm.org.apache.hadoop.fs.Path(os.path.abspath(root))
+    return with_default(path.toString(), spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///"))
+
+
+def with_default(path: str, default: str) -> str:
+    """Scheme and authority of the default store for a path that has none."""
+    if re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*:", path):
+        return path
+    return default.rstrip("/") + path if default.rstrip("/") != "file:" else "file://" + path
 
 
 def arrow_uri(root: str) -> str:
-    for spark_scheme, scheme in (("s3a://", "s3://"), ("s3n://", "s3://")):
-        if root.startswith(spark_scheme):
-            return scheme + root.removeprefix(spark_scheme).rstrip("/")
-    if root.startswith("file:"):
-        return "/" + root.removeprefix("file:").strip("/")
-    return root.rstrip("/") if ":" in root else os.path.abspath(root)
+    """The folder as Arrow names it; schemes that Arrow does not know are refused.
+
+    A path without scheme is one of the session's default store, so it needs a session.
+    """
+    if not re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*:", root):
+        session = SparkSession.getActiveSession()
+        if session is None:
+            raise ValueError(f"{root} has no scheme, and there is no session to say which store is meant")
+        root = qualified(session, root)
+    scheme, _, rest = root.partition(":")
+    if scheme == "file":
+        return "/" + rest.strip("/")
+    if scheme not in ARROW_SCHEMES:
+        raise ValueError(f"Arrow has no file system for {scheme}: ({root})")
+    return f"{ARROW_SCHEMES[scheme]}:{rest.rstrip('/')}"
+
+
+def exists(root: str) -> bool:
+    from pyarrow import fs
+
+    store, base = fs.FileSystem.from_uri(arrow_uri(root))
+    return store.get_file_info(base).type == fs.FileType.Directory
 
 
-def empty_files(spark: SparkSession, root: str) -> DataFrame:
-    """Zero-length files below ``root``: relative_path, modificationTime.
+def walk(spark: SparkSession, root: str, dot_names: bool = True) -> DataFrame:
+    """Every file below ``root``: relative_path, length, modificationTime.
 
-    Spark's file sources give no row for these. The driver opens folders from the top
-    only until there is one for every task; the tasks walk on from there.
+    Names that start with ``_`` and empty files are among them, names that start with ``.`` and
+    what lies below such folders as well unless ``dot_names`` is off. An absent root is an error.
     """
-    uri = arrow_uri(root)
-    tasks = few_tasks(spark)
-    folders = spark.createDataFrame(_starting_folders(uri, tasks), "folder STRING, walk BOOLEAN")
-    return folders.repartition(tasks, "folder").mapInArrow(
-        _empty_file_finder(uri), "relative_path STRING, modificationTime TIMESTAMP"
+    if not exists(root):
+        raise FileNotFoundError(f"no folder {root}")
+    folder = run_folder(spark, "walk")
+    lister = _folder_lister(arrow_uri(root), dot_names)
+    folders = spark.createDataFrame([("",)], "relative_path STRING")
+    level = 0
+    while True:
+        path = f"{folder}/level={level}"
+        folders.mapInArrow(lister, "relative_path STRING, length LONG, modificationTime TIMESTAMP").write.parquet(path)
+        found = spark.read.schema("relative_path STRING, length LONG, modificationTime TIMESTAMP").parquet(path)
+        folders = found.where("length is null").select("relative_path")
+        if folders.isEmpty():
+            break
+        folders = folders.repartition(few_tasks(spark), "relative_path")
+        level += 1
+    every = spark.read.schema("relative_path STRING, length LONG, modificationTime TIMESTAMP, level INT").parquet(folder)
+    return every.where("length is not null").drop("level")
+
+
+def _folder_lister(uri: str, dot_names: bool):
+    # A closure with its own imports: workers need no copy of this package.
+    def list_folders(batches):
+        import re
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        unfinished = re.compile(r"\.[0-9a-f]{16,32}\.part")  # what a lost unpacking task leaves
+        store, base = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                selector = fs.FileSelector(f"{base}/{folder}" if folder else base, allow_not_found=True)
+                found = [
+                    e
+                    for e in store.get_file_info(selector)
+                    if (dot_names or not e.base_name.startswith(".")) and not unfinished.fullmatch(e.base_name)
+                ]
+                for start in range(0, len(found), 10_000):
+                    part = found[start : start + 10_000]
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "relative_path": pa.array([f"{folder}/{e.base_name}".lstrip("/") for e in part], pa.string()),
+                            "length": pa.array([e.size if e.type == fs.FileType.File else None for e in part], pa.int64()),
+                            "modificationTime": pa.array([e.mtime for e in part], pa.timestamp("us", "UTC")),
+                        }
+                    )
+
+    return list_folders
+
+
+def read_contents(listing: DataFrame, root: str) -> DataFrame:
+    """relative_path and file_content of listed files. A file that has vanished or cannot be
+    read is left out, as a count against the listing shows."""
+    return listing.select("relative_path").mapInArrow(
+        _file_reader(arrow_uri(root)), "relative_path STRING, file_content BINARY"
     )
 
 
+def _file_reader(uri: str):
+    # A closure with its own imports: workers need no copy of this package.
+    def read(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(uri)
+
+        def rows(names, contents):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array(contents, pa.binary())], names=["relative_path", "file_content"]
+            )
+
+        for batch in batches:
+            names, contents, held = [], [], 0
+            for name in batch.column(0).to_pylist():
+                try:
+                    with store.open_input_stream(f"{base}/{name}", compression=None) as file:
+                        content = file.read()
+                except OSError:
+                    continue
+                names.append(name)
+                contents.append(content)
+                held += len(content)
+                if held >= READ_BYTES:
+                    yield rows(names, contents)
+                    names, contents, held = [], [], 0
+            if names:
+                yield rows(names, contents)
+
+    return read
+
+
 def add_file_digests(named: DataFrame, root: str) -> DataFrame:
     """Add the SHA-256 of the file below ``root`` that each row names, null when it cannot
     be read: relative_path, packed, found. For a few files out of a large tree."""
@@ -66,50 +192,3 @@ def _file_digester(uri: str):
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=["relative_path", "packed", "found"])
 
     return digest
-
-
-def _starting_folders(uri: str, enough: int) -> list[tuple[str, bool]]:
-    """Folders to look into without and with those below them."""
-    from pyarrow import fs
-
-    store, base = fs.FileSystem.from_uri(uri)
-    opened, waiting = [], [base]
-    while waiting and len(waiting) < enough:
-        opened += waiting
-        waiting = [
-            entry.path
-            for folder in waiting
-            for entry in store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-            if entry.type == fs.FileType.Directory and entry.base_name[:1] not in (".", "_")
-        ]
-    return [(folder, False) for folder in opened] + [(folder, True) for folder in waiting]
-
-
-def _empty_file_finder(uri: str):
-    # A closure with its own imports: workers need no copy of this package.
-    def find(batches):
-        import pyarrow as pa
-        from pyarrow import fs
-
-        store, base = fs.FileSystem.from_uri(uri)
-        for batch in batches:
-            waiting = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            while waiting:
-                folder, walk = waiting.pop()
-                found = [
-                    entry
-                    for entry in store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-                    if entry.base_name[:1] not in (".", "_")
-                ]
-                if walk:
-                    waiting += [(entry.path, True) for entry in found if entry.type == fs.FileType.Directory]
-                empty = [entry for entry in found if entry.type == fs.FileType.File and entry.size == 0]
-                if empty:
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "relative_path": pa.array([entry.path[len(base) :].lstrip("/") for entry in empty]),
-                            "modificationTime": pa.array([entry.mtime for entry in empty], pa.timestamp("us", "UTC")),
-                        }
-                    )
-
-    return find

@@ -1,68 +1,49 @@
-"""File trees through the ``binaryFile`` source.
+"""File trees: the listing of every file, and the files' bytes.
 
-Names that start with ``.`` or ``_`` are not listed, as in every Spark file source.
-The source also leaves out empty files, which are added here. The listing is held by
-the driver; when a tree is too large for that, work from its packed snapshot instead,
-which no operator lists file by file.
+A tree is walked once by tasks (``stores.walk``); names that start with ``_`` or ``.`` and
+empty files count as files. The driver holds no listing.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from advisory_lake import schemas
-from advisory_lake.functions.paths import join_path, relative_to
+from advisory_lake.functions.paths import join_path
 from advisory_lake.session import few_tasks, modest_listing
-from advisory_lake.sources.stores import empty_files
+from advisory_lake.sources.stores import exists, read_contents, walk
 
-
-def _files(spark: SparkSession, root: str) -> DataFrame:
-    reader = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("ignoreMissingFiles", True)
-        .option("ignoreCorruptFiles", True)
-    )
-    with modest_listing(spark):
-        return reader.load(root)
+FILES_PER_TASK = 5000
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """One row per file below ``root``; no content is read, so a few tasks are enough."""
-    listed = _files(spark, root).select(
-        relative_to(F.col("path"), root).alias("relative_path"), "path", "length", "modificationTime"
-    )
-    return listed.coalesce(few_tasks(spark)).unionByName(
-        empty_files(spark, root).select(
-            "relative_path",
-            join_path(root, F.col("relative_path")).alias("path"),
-            F.lit(0).cast("long").alias("length"),
-            "modificationTime",
-        )
+def list_files(spark: SparkSession, root: str, dot_names: bool = True) -> DataFrame:
+    """One row per file below ``root``, as the tree is when this is called."""
+    return walk(spark, root, dot_names).select(
+        "relative_path", join_path(root, F.col("relative_path")).alias("path"), "length", "modificationTime"
     )
 
 
-def list_files_if_present(spark: SparkSession, root: str) -> DataFrame:
+def list_files_if_present(spark: SparkSession, root: str, dot_names: bool = True) -> DataFrame:
     """The listing, or no rows while the folder does not exist yet."""
-    try:
-        return list_files(spark, root)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schemas.LISTING)
+    return list_files(spark, root, dot_names) if exists(root) else spark.createDataFrame([], schemas.LISTING)
 
 
-def data_files(spark: SparkSession, location: str) -> DataFrame:
-    """Path, length and time of a table's files, none of which is empty."""
-    return _files(spark, location).select("path", "length", "modificationTime")
+def read_files(
+    spark: SparkSession,
+    root: str,
+    files_per_task: int = FILES_PER_TASK,
+    listing: DataFrame | None = None,
+) -> DataFrame:
+    """Snapshot rows of a tree: relative path and bytes of each file, of those in ``listing``
+    when one is given. A file that vanishes or cannot be read is left out."""
+    listing = walk(spark, root) if listing is None else listing
+    tasks = max(few_tasks(spark), -(-listing.count() // files_per_task))
+    return read_contents(listing.repartition(tasks, "relative_path"), root)
 
 
-def read_files(spark: SparkSession, root: str) -> DataFrame:
-    """Snapshot rows of a tree: relative path and bytes of each file. A file that
-    vanishes or cannot be read is left out."""
-    filled = _files(spark, root).select(
-        relative_to(F.col("path"), root).alias("relative_path"), F.col("content").alias("file_content")
-    )
-    return filled.unionByName(empty_files(spark, root).select("relative_path", F.lit(b"").alias("file_content")))
+def data_files(spark: SparkSession, location: str) -> DataFrame:
+    """Path, length and time of a table's files, none of which is empty."""
+    with modest_listing(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location)
+    return files.select("path", "length", "modificationTime")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from advisory_lake import schemas
+from advisory_lake.operators.inventory import EXPECTED_FILES, arrival_progress
 from advisory_lake.session import modest_listing, small_file_scans
 
 
@@ -33,7 +37,8 @@ def count_arrivals(
     """Keep the table ``name`` (one row, ``found``) at the number of files seen so far.
 
     ``every`` such as ``"30 seconds"`` watches until stopped; without it the query takes
-    what is there and ends. The state is a single counter.
+    what is there and ends. The aggregate's state is a single counter; the source itself keeps
+    the path of every file it has seen, and leaves out empty files and names with ``_`` or ``.``.
     """
     counted = arriving_files(spark, root, files_per_trigger).agg(F.count(F.lit(1)).alias("found"))
     trigger = {"processingTime": every} if every else {"availableNow": True}
@@ -55,3 +60,19 @@ def count_until_now(
     with modest_listing(spark), small_file_scans(spark):
         count_arrivals(spark, root, name, checkpoint, files_per_trigger).awaitTermination()
     return spark.table(name)
+
+
+def watch_arrivals(
+    spark: SparkSession, root: str, expected: int = EXPECTED_FILES, every: float = 30.0, most: int | None = None
+) -> Iterator[Row]:
+    """Reports (found, expected, percent, complete, checked_at) until the tree is complete, or
+    after ``most`` of them. Counts every file, as the listing does; a folder that does not exist
+    yet counts as empty."""
+    rounds = 0
+    while True:
+        report = arrival_progress(spark, root, expected).first()
+        rounds += 1
+        yield report
+        if report.complete or rounds == most:
+            return
+        time.sleep(every)

@@ -2,10 +2,12 @@ from pathlib import Path
 
 import pytest
 
+from advisory_lake import session
 from advisory_lake.functions import paths
 from advisory_lake.operators import inventory, partitioning
 from advisory_lake.sources.tree import list_files, list_files_if_present
-from advisory_lake.streaming.arrival import count_arrivals, count_until_now
+from advisory_lake.session import remove_run_folders, run_folder
+from advisory_lake.streaming.arrival import count_arrivals, count_until_now, watch_arrivals
 
 
 def write(root, *names):
@@ -101,3 +103,21 @@ def test_merging_never_adds_partitions(spark):
 def test_file_budget_grows_with_the_input():
     assert partitioning.file_budget(0) == 16
     assert partitioning.file_budget(100 << 40) == (100 << 40) // (512 << 20)
+
+
+def test_watch_ends_when_the_tree_is_complete(spark, folder):
+    reports = []
+    for report in watch_arrivals(spark, f"{folder}/tree", expected=3, every=0):
+        reports.append((report.found, report.percent, report.complete))
+        write(f"{folder}/tree", f"a/{len(reports)}.json", *(["_x", "b/.y"] if len(reports) == 2 else []))
+    assert reports == [(0, 0.0, False), (1, 33.33, False), (4, 133.33, True)]
+    assert len(list(watch_arrivals(spark, f"{folder}/none", expected=3, every=0, most=2))) == 2
+
+
+def test_run_folders_can_be_removed(spark):
+    path = Path(run_folder(spark, "gone").removeprefix("file:"))
+    write(path, "a/b")
+    kept = [name for name in session._run_folders[spark.sparkContext.applicationId]]
+    session._run_folders[spark.sparkContext.applicationId] = [str(path)]
+    assert remove_run_folders(spark) == 1 and not path.exists()
+    session._run_folders[spark.sparkContext.applicationId] = kept

@@ -6,7 +6,9 @@ import pytest
 from pyspark.errors import PySparkException
 
 from advisory_lake.operators import packing
-from advisory_lake.sources.snapshot import read_snapshot, scan_width, write_snapshot
+from advisory_lake.operators.quality import QualityError
+from advisory_lake.sources.snapshot import read_snapshot, write_snapshot
+from advisory_lake.sources.stores import arrow_uri, with_default
 from advisory_lake.sources.tree import list_files, read_files
 
 CONTENT = {
@@ -30,7 +32,7 @@ def packed(spark, tmp_path):
 @pytest.fixture
 def root(spark, packed, tmp_path):
     target = str(tmp_path / "tree with blank")
-    packing.unpack_snapshot(spark, packed, target, at_least=4).collect()
+    packing.unpack_snapshot(spark, packed, target, tasks=4).collect()
     return target
 
 
@@ -158,11 +160,62 @@ def test_leftovers_of_lost_tasks_are_not_listed(spark, root):
     assert list_files(spark, root).count() == len(CONTENT)
 
 
-def test_shuffle_only_when_the_scan_is_narrow(spark, packed, tmp_path):
-    width = scan_width(spark, packed)
-    narrow = packing.unpack_snapshot(spark, packed, str(tmp_path / "x"), at_least=width + 1)
-    wide = packing.unpack_snapshot(spark, packed, str(tmp_path / "x"), at_least=width)
+def test_shuffle_only_when_asked(spark, packed, tmp_path):
+    dealt = packing.unpack_snapshot(spark, packed, str(tmp_path / "x"), tasks=3)
+    plain = packing.unpack_snapshot(spark, packed, str(tmp_path / "x"), tasks=None)
     from conftest import plan_of
 
-    assert "hashpartitioning(relative_path" in plan_of(narrow)
-    assert "Exchange" not in plan_of(wide)
+    assert "hashpartitioning(relative_path" in plan_of(dealt)
+    assert "Exchange" not in plan_of(plain)
+
+
+def test_every_name_is_packed(spark, tmp_path):
+    names = ["_under.json", "_dir/x.json", ".dot/y", "a/_b/.c", "flat/1", "flat/2"]
+    for name in names:
+        path = tmp_path / "tree" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"" if name.startswith("flat") else name.encode())
+    root = str(tmp_path / "tree")
+    packed = packing.pack_tree(spark, root, str(tmp_path / "packed"))
+    assert {r.relative_path: bytes(r.file_content) for r in packed.collect()} == on_disk(root)
+    assert sorted(r.relative_path for r in list_files(spark, root).collect()) == sorted(names)
+    assert sorted(r.relative_path for r in list_files(spark, root, dot_names=False).collect()) == [
+        "_dir/x.json", "_under.json", "flat/1", "flat/2"
+    ]
+    with pytest.raises(FileNotFoundError):
+        list_files(spark, f"{root}/absent")
+
+
+def test_pack_and_verify(spark, root, tmp_path):
+    report = packing.pack_and_verify(spark, root, str(tmp_path / "checked"))
+    assert all(r.passed for r in report.collect()) and report.count() == 2
+    if os.geteuid():  # nothing is unreadable for root
+        Path(root, "README.md").chmod(0)
+        with pytest.raises(QualityError):
+            packing.pack_and_verify(spark, root, str(tmp_path / "again"))
+
+
+def test_colliding_paths_are_refused(spark, tmp_path):
+    rows = spark.createDataFrame([("a\\b", b"1"), ("a/b", b"2"), ("c", b"3")], "relative_path STRING, file_content BINARY")
+    write_snapshot(rows, str(tmp_path / "p"))
+    with pytest.raises(ValueError, match="a/b"):
+        packing.unpack_snapshot(spark, str(tmp_path / "p"), str(tmp_path / "t"))
+
+
+def test_one_meaning_of_a_path():
+    assert with_default("/data/x", "hdfs://name:8020") == "hdfs://name:8020/data/x"
+    assert with_default("/data/x", "file:///") == "file:///data/x"
+    assert with_default("s3a://b/x", "hdfs://name:8020") == "s3a://b/x"
+    assert arrow_uri("s3a://b/x/") == "s3://b/x"
+    assert arrow_uri("file:///data/x") == arrow_uri("file:/data/x") == "/data/x"
+    assert arrow_uri("hdfs://name:8020/data") == "hdfs://name:8020/data"
+    with pytest.raises(ValueError):
+        arrow_uri("dbfs:/data")
+
+
+def test_content_is_read_for_named_files_only(spark, packed, root):
+    from conftest import plan_of
+
+    names = plan_of(packing.sample_paths(read_snapshot(spark, packed), 3))
+    assert "file_content" not in names
+    assert "In(relative_path" in plan_of(packing.verify_sample(read_snapshot(spark, packed), root, 3))

@@ -1,4 +1,4 @@
-"""Edge records, read as files by the JSON source and from a packed snapshot."""
+"""Edge records, read from a tree and from a packed snapshot."""
 
 import json
 
@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from advisory_lake import schemas
-from advisory_lake.operators import bronze, packing, silver
-from advisory_lake.session import utc
-from advisory_lake.sources.records import packed_json, parse_packed, read_record_files
+from advisory_lake.functions.scalars import instant
+from advisory_lake.operators import bronze, gold, packing, silver
+from advisory_lake.session import settings, utc
+from advisory_lake.sources.records import parse_packed, read_record_files, read_record_lines, taken
 from advisory_lake.sources.snapshot import read_snapshot
 
 
@@ -59,7 +60,8 @@ FILES = {
     "2024/d/records.JSON": json.dumps(record(20)),
 }
 
-KEPT = [1, 2, 3, 4, 6, 9, 10, 11, 11, 13, 14, 15, 16, 17]
+KEPT = [1, 2, 3, 4, 6, 9, 10, 11, 11, 13, 14, 15, 16, 17, 18, 19, 20]
+JSON_NAMES = KEPT[:-2]
 
 
 @pytest.fixture(scope="module")
@@ -87,10 +89,12 @@ def test_files_and_snapshot_keep_the_same_records(spark, tree, snapshot):
     with utc(spark):
         from_files = bronze.keep_published(read_record_files(spark, str(tree)))
         from_snapshot = bronze.published_records(snapshot)
-        plain = bronze.keep_published(parse_packed(packed_json(snapshot)))
+        plain = bronze.keep_published(parse_packed(snapshot))
+        named = bronze.published_records(snapshot, folder="cves", suffix=".json")
     assert ids(from_files) == KEPT
     assert ids(from_snapshot) == KEPT
     assert ids(plain) == KEPT
+    assert ids(named) == JSON_NAMES
     text = F.to_json(F.struct("*")).alias("j")
     assert sorted(from_files.select(text).collect()) == sorted(from_snapshot.select(text).collect())
 
@@ -102,16 +106,16 @@ def test_year_is_that_of_the_utc_instant(spark, snapshot):
 
 def test_single_line_mode_loses_pretty_documents(spark, tree):
     with utc(spark):
-        kept = bronze.keep_published(read_record_files(spark, str(tree), multi_line=False))
+        kept = bronze.keep_published(read_record_lines(spark, str(tree)))
     assert 2 not in ids(kept) and 1 in ids(kept)
 
 
 def test_rejects_are_counted(spark, snapshot):
     with utc(spark):
-        parsed = parse_packed(packed_json(snapshot), schemas.RECORD_HEADER)
+        parsed = parse_packed(taken(snapshot), schemas.RECORD_HEADER)
         row = bronze.reject_summary(parsed).first()
-    # no record: two array elements, empty, truncated, bad bytes, null id
-    assert row.asDict() == {"rows_read": 23, "without_id": 6, "without_date": 2, "other_year": 1, "kept": 14}
+    # no record: two array elements, empty, truncated, bad bytes, junk, null id
+    assert row.asDict() == {"rows_read": 27, "without_id": 7, "without_date": 2, "other_year": 1, "kept": 17}
 
 
 def test_silver_rows(spark, snapshot):
@@ -132,5 +136,44 @@ def test_silver_rows(spark, snapshot):
 
 def test_snapshot_read_back(spark, snapshot, tree):
     path = snapshot.inputFiles()[0].rpartition("/")[0]
-    # with the empty file, without .DS_Store and _x.json
-    assert read_snapshot(spark, path).count() == len(FILES) + 1 - 2
+    # every file, also the empty one, .DS_Store and _x.json
+    assert read_snapshot(spark, path).count() == len(FILES) + 1
+
+
+ODD = {
+    "bom.json": b"\xef\xbb\xbf" + json.dumps(record(30)).encode(),
+    "little.json": b"\xff\xfe" + json.dumps(record(31, title="\u00e9\U0001f600")).encode("utf-16-le"),
+    "big.json": b"\xfe\xff" + json.dumps(record(32)).encode("utf-16-be"),
+    "lines.jsonl": "\n".join(json.dumps(record(n, title="a } { \"b")) for n in (33, 34, 35)).encode(),
+    "pretty.jsonl": "\n\n".join(json.dumps(record(n), indent=2) for n in (36, 37)).encode(),
+    "_under/_x.json": json.dumps(record(38)).encode(),
+    "broken.json": b"\xff\xfe\x00\xd8{",
+}
+
+
+def test_no_file_is_lost_on_either_path(spark, tmp_path):
+    for name, body in ODD.items():
+        path = tmp_path / "tree" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(body)
+    root = str(tmp_path / "tree")
+    snapshot = packing.pack_tree(spark, root, str(tmp_path / "packed"))
+    want = list(range(30, 39))
+    assert ids(bronze.keep_published(read_record_files(spark, root))) == want
+    assert ids(bronze.published_records(snapshot)) == want
+    titles = {r.title for r in bronze.published_records(snapshot).select("containers.cna.title").collect()}
+    assert {"\u00e9\U0001f600", 'a } { "b'} <= titles
+    counted = bronze.files_summary(snapshot, suffix=".json").first().asDict()
+    assert counted == {"files_taken": 5, "files_left_out": 2, "files_without_record": 1, "files_with_several": 0}
+    assert bronze.files_summary(snapshot).first().files_with_several == 2
+
+
+def test_functions_mean_utc_in_any_zone(spark, snapshot):
+    with settings(spark, {"spark.sql.session.timeZone": "America/New_York"}):
+        assert ids(bronze.published_records(snapshot)) == KEPT
+        assert ids(bronze.published_records(snapshot, 2023)) == [5]
+        moments = spark.createDataFrame(
+            [("2024-03-01T01:00:00Z",), ("2024-03-01",), ("2024-03-31T23:30:00",), ("2024-04-01T00:30:00+02:00",)], "t STRING"
+        )
+        months = gold.monthly_trend(moments.select(instant(F.col("t")).alias("date_published"))).collect()
+        assert [(str(r.publication_month), r["count"]) for r in months] == [("2024-03-01", 4)]
