@@ -161,7 +161,7 @@ class Judge:
             if some:
                 values = np.fromiter(map(known.__getitem__, some), float, len(some))
                 toxic = np.clip(2 * values - 0.5, 0, 1).sum()
-                row[:] = max(values.max(), -1.0), np.log1p(toxic), np.log1p(200 * toxic / len(some))
+                row[:] = np.clip(values.max(), -1, 1), np.log1p(toxic), np.log1p(200 * toxic / (len(some) + 20))
         return rows
 
     def scores(self, texts: list[str | None]) -> np.ndarray:

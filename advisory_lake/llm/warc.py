@@ -36,7 +36,7 @@ from pyspark.sql.datasource import (
 
 from advisory_lake.llm.shared import ship_package
 from advisory_lake.session import run_folder
-from advisory_lake.sources.stores import arrow_uri
+from advisory_lake.sources.stores import arrow_uri, qualified
 
 PUSHDOWN_KEY = "spark.sql.python.filterPushdown.enabled"
 TASK_BYTES = 128 << 20  # small files share a task up to this
@@ -234,6 +234,7 @@ class WrittenFiles(WriterCommitMessage):
 class WarcDataSource(DataSource):
     """Format ``warc``. Reading takes any of the columns of ``DDL``; leave ``payload`` out of
     the schema and no payload is inflated. Writing takes page_id, url, payload, digest, refers_to.
+    The path needs its scheme, as ``stores.qualified`` gives it.
     """
 
     @classmethod
@@ -415,14 +416,14 @@ def deduplicated(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
 
 def write_archive(pages: DataFrame, path: str) -> None:
     register(pages.sparkSession)
-    deduplicated(pages).write.format("warc").mode("append").save(path)
+    deduplicated(pages).write.format("warc").mode("append").save(qualified(pages.sparkSession, path))
 
 
 def read_archive(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """The named columns of all records."""
     register(spark)
     types = dict(column.split(" ") for column in DDL.split(", "))
-    return spark.read.format("warc").schema(", ".join(f"{c} {types[c]}" for c in columns)).load(path)
+    return spark.read.format("warc").schema(", ".join(f"{c} {types[c]}" for c in columns)).load(qualified(spark, path))
 
 
 def archived_pages(pages: DataFrame) -> DataFrame:
