@@ -9,7 +9,7 @@ equal anchors, so an anchor occurs in at least as many documents as any window t
    The sketches of a shard are summed; sums never underestimate.
 2. Anchors meet their shard's merged sketch in a stream sorted by shard, so that no group is
    held whole. Those estimated to occur in two documents are kept, all others are unique.
-3. Windows with a kept anchor, and only these, are grouped exactly by 128 bits of their words,
+3. Windows with a kept anchor, and only these, are grouped exactly by 96 bits of their words,
    and lose their words where a document with a smaller id has the same window.
 
 Documents with equal texts are compared once: all but the first lose every word.
@@ -165,7 +165,7 @@ def _merged_sketches(partial: DataFrame) -> DataFrame:
     """Per shard, a bit for every cell whose sum over all sketches is two or more. A group is
     the sparse sketches of one shard, whose size the number of shards bounds."""
 
-    def merge(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         # two counts are told from one; more need not be told apart
         total = np.zeros(DEPTH * WIDTH, np.uint8)
         for cells, counts in zip(frame["cells"], frame["counts"]):
@@ -229,7 +229,7 @@ def _estimated_repeated(looked: DataFrame, sketches: DataFrame, shards: int) ->
 
 
 def _candidate_windows(texts: DataFrame) -> DataFrame:
-    """Windows whose anchor is estimated repeated: two numbers of the words, owner and start."""
+    """Windows whose anchor is estimated repeated: 96 bits of their words, owner and start."""
 
     def run(batches):
         for batch in batches:
@@ -248,16 +248,16 @@ def _candidate_windows(texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(as_long(words.sequences(WINDOW_WORDS, 0)[starts])),
-                        pa.array(as_long(words.sequences(WINDOW_WORDS, 1)[starts])),
+                        pa.array((words.sequences(WINDOW_WORDS, 1)[starts] >> U64(32)).astype(np.int64)),
                         part.column(0).take(taken),
                         part.column(2).take(taken),
                         pa.array((starts - words.first[owner]).astype(np.int32)),
                     ],
-                    names=["h1", "h2", "doc_id", "text_key", "start"],
+                    names=["h1", "h2", "doc_id", "own_key", "start"],
                 )
 
-    return texts.select("doc_id", "text", "text_key", "places").mapInArrow(
-        run, "h1 LONG, h2 LONG, doc_id LONG, text_key LONG, start INT"
+    return texts.select("doc_id", "text", "own_key", "places").mapInArrow(
+        run, "h1 LONG, h2 LONG, doc_id LONG, own_key LONG, start INT"
     )
 
 
@@ -288,13 +288,19 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "rows",
     )
     asked = by_text.join(rows.where("not copy").select("doc_id", "text_key").distinct(), ["doc_id", "text_key"])
+    # windows name their text by doc_id alone unless the id has several texts
+    several = rows.groupBy("doc_id").agg((F.min("text_key") < F.max("text_key")).alias("several")).where("several")
+    asked = asked.join(several, "doc_id", "left").withColumn("own_key", F.expr("if(several, text_key, 0)"))
+    asked = written(asked.drop("several"), "asked")
 
     texts = keyed.where("doc_id is not null").join(asked, ["doc_id", "text_key"])
-    windows = written(_candidate_windows(texts), "windows")
-    least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    least = least.where("least < most").drop("most")
-    gone = windows.join(least, ["h1", "h2"]).where("doc_id > least")
-    return rows, gone.groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("starts"))
+    # made twice, for counting and for marking: cheaper than keeping them, the texts move once
+    windows = _candidate_windows(texts)
+    least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    gone = windows.join(least.where("n > 1").drop("n"), ["h1", "h2"]).where("doc_id > least")
+    starts = gone.groupBy("doc_id", "own_key").agg(F.collect_set("start").alias("starts"))
+    keys = asked.select("doc_id", "own_key", "text_key")
+    return rows, starts.join(keys, ["doc_id", "own_key"]).select("doc_id", "text_key", "starts")
 
 
 def _kept_words(part: pa.RecordBatch, words: Words, starts: pa.Array) -> list[np.ndarray | None]:
