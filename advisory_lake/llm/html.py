@@ -439,12 +439,15 @@ class _Maker:
 
 
 def train(pages: DataFrame, most_pages: int = TRAIN_PAGES, made_pages: int = MADE_PAGES) -> Labeller:
-    """Fit on at most ``most_pages`` pages, those with the smallest hash of page_id and html, and
-    on pages made from their words."""
+    """Fit on at most ``most_pages`` pages, different ones with the smallest hashes, and on
+    pages made from their words."""
     sample = pages.select(F.col("html").cast("string").alias("html")).where("html is not null")
-    sample = sample.withColumn("h", F.xxhash64("html")).orderBy("h", "html").limit(most_pages)
+    sample = sample.withColumn("h", F.xxhash64("html"))
+    # hashes first: a task sends numbers to the driver, and then only the chosen pages
+    chosen = [row.h for row in sample.select("h").distinct().orderBy("h").limit(most_pages).collect()]
+    picked = sample.where(F.col("h").isin(chosen)).groupBy("h").agg(F.min("html").alias("html"))
     rows, labels, words = [], [], set()
-    for page in sample.toPandas()["html"]:
+    for page in sorted(row.html for row in picked.collect()):
         blocks = blocks_of(page)
         words.update(word for block in blocks for word in block.text.split()[:200])
         marked = marked_labels(blocks)
