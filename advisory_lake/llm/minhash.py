@@ -24,7 +24,7 @@ BANDS, ROWS = 32, 5  # at a similarity of 0.85 a pair shares no band once in 10*
 PLAIN_RANKS = 6  # ranks whose places are traced back; later ones keep the orders
 SHINGLES_AT_ONCE = 65_536
 SLICE_BYTES = 2 << 20
-FIRST_PIVOTS, MORE_PIVOTS = 16, 8
+FIRST_PIVOTS, MORE_PIVOTS = 256, 16
 
 _EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 _LOW = U64(0xFFFFFFFF)
@@ -153,11 +153,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     Two documents are linked when 100 * intersection >= percent * union of their sets.
     component_id is the smallest doc_id reachable over links, kept is doc_id = component_id.
 
-    Buckets are searched by pivots. In every bucket one document, then ever more, is compared
-    with all others of the bucket that are not in its component yet. A bucket is done when all
-    its documents are in one component or when all outside its largest component have been
-    pivots; no pair that could join two components is left out, and a bucket of copies costs
-    one comparison each.
+    A document can only be linked through shingles that some other document of a bucket has, so
+    those with too many of their own leave first, and pairs that cannot reach the similarity are
+    not formed. Buckets are then searched by pivots. In every bucket one document, then ever
+    more, is compared with all others of the bucket that are not in its component yet. A bucket
+    is done when all its documents are in one component or when all outside its largest
+    component have been pivots; no pair that could join two components is left out, and a bucket
+    of copies costs one comparison each.
 
     Null, empty and blank texts have the empty set, are linked with nothing and kept. Rows
     without doc_id take part in no link, have no component_id and are kept. Rows that repeat a
@@ -179,25 +181,30 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     texts = id_and_text(docs).join(candidates, "doc_id")
     sets = written(_shingle_arrays(texts), "sets")
 
-    leaders = members.groupBy("band", "number").agg(F.min_by(F.struct("node", "n_shingles"), "node").alias("pivot"))
-    links = written(_verified(_pairs(members, leaders), sets, percent), "links")
+    members = written(_linkable(members, sets, percent), "buckets")
+
+    leaders = members.groupBy("band", "number").agg(F.min_by(_pivot(), F.struct(_alone(), "node")).alias("pivot"))
+    links = written(_verified(_pairs(members, leaders, percent), sets, percent), "links")
     labels = connected_components(links)
     pivots = FIRST_PIVOTS
     while True:
         members = written(_unsettled(members, labels, leaders if pivots == FIRST_PIVOTS else None), "unsettled")
-        if members.isEmpty():
+        waiting = members.where("waiting")
+        most = waiting.groupBy("band", "number").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if most is None:
             break
-        turn = Window.partitionBy("band", "number").orderBy("node")
-        chosen = members.where("waiting").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= pivots)
-        chosen = written(chosen.select("band", "number", F.struct("node", "n_shingles").alias("pivot"), "component"), "pivots")
-        compared = _pairs(members, chosen, F.col("component") != F.col("pivot_component"))
-        more = written(_verified(compared, sets, percent), "links")
-        done = chosen.select("band", "number", F.col("pivot.node").alias("node"), F.lit(True).alias("done"))
-        members = members.join(done, ["band", "number", "node"], "left").withColumn("open", F.expr("open and done is null"))
-        members = written(members.drop("component", "waiting", "done"), "buckets")
+        turn = Window.partitionBy("band", "number").orderBy(_alone(), "node")
+        chosen = waiting.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= pivots)
+        chosen = chosen.select("band", "number", _pivot().alias("pivot"), "component")
+        more = written(_verified(_pairs(members, chosen, percent), sets, percent), "links")
         if not more.isEmpty():
             links = written(links.union(more), "links")
             labels = connected_components(links)
+        if most <= pivots:
+            break
+        done = chosen.select("band", "number", F.col("pivot.node").alias("node"), F.lit(True).alias("done"))
+        members = members.join(done, ["band", "number", "node"], "left").withColumn("open", F.expr("open and done is null"))
+        members = written(members.drop("component", "waiting", "done"), "buckets")
         pivots *= MORE_PIVOTS
 
     named = nodes.select("s1", "s2", "n_shingles", "node")
@@ -219,18 +226,44 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
 
 
-def _pairs(members: DataFrame, pivots: DataFrame, condition=None) -> DataFrame:
-    """Distinct (a, b), a < b, of pivots with members of their bucket whose sizes allow a link."""
-    renamed = pivots.withColumnRenamed("component", "pivot_component") if "component" in pivots.columns else pivots
-    pairs = members.join(renamed, ["band", "number"]).where("node <> pivot.node")
-    if condition is not None:
-        pairs = pairs.where(condition)
-    return pairs.select(
-        F.least("node", "pivot.node").alias("a"),
-        F.greatest("node", "pivot.node").alias("b"),
-        F.least("n_shingles", "pivot.n_shingles").alias("fewer"),
-        F.greatest("n_shingles", "pivot.n_shingles").alias("more"),
-    ).distinct()
+def _pivot():
+    return F.struct("node", "n_shingles", "shared")
+
+
+def _alone():
+    """Shingles that no other candidate has. Pivots with few of them come first: the text that
+    others are copies of has none, and joins them all at once."""
+    return (F.col("n_shingles") - F.col("shared")).alias("alone")
+
+
+def _linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members with ``shared``, the number of their shingles that any other candidate has; those
+    that share too few for any link are left out. A shingle of one document has one owner, so
+    grouping by shingle is enough."""
+    each = sets.select("doc_id", F.explode("shingles").alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("node")).where("n = 1")
+    several = sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    several = several.select(F.col("doc_id").alias("node"))  # ids with several texts own nothing alone
+    alone = alone.groupBy("node").agg(F.count(F.lit(1)).alias("alone")).join(several, "node", "left_anti")
+    counted = members.join(alone, "node", "left").withColumn("shared", F.expr("n_shingles - coalesce(alone, 0)"))
+    return counted.where(F.col("shared") * 100 >= F.col("n_shingles") * percent).drop("alone")
+
+
+def _pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
+    """Distinct (a, b), a < b, of pivots with members of their bucket: of another component, where
+    these are known, and of sizes and shares that allow a link."""
+    pivots = pivots.select(*[F.col(c).alias("pivot_component" if c == "component" else c) for c in pivots.columns])
+    possible = (
+        (F.col("node") != F.col("pivot.node"))
+        & (F.col("n_shingles") * 100 >= F.col("pivot.n_shingles") * percent)
+        & (F.col("pivot.n_shingles") * 100 >= F.col("n_shingles") * percent)
+        # no more can be common than either of them shares with anyone
+        & (F.least("shared", "pivot.shared") * (100 + percent) >= (F.col("n_shingles") + F.col("pivot.n_shingles")) * percent)
+    )
+    if "component" in members.columns:
+        possible &= F.col("component") != F.col("pivot_component")
+    pairs = members.join(pivots, ["band", "number"]).where(possible)
+    return pairs.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -239,8 +272,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - both
-    possible = pairs.where(F.col("fewer") * 100 >= F.col("more") * percent).select("a", "b")
-    return possible.join(right, "b").join(left, "a").where(both * 100 >= union * percent).select("a", "b").distinct()
+    return pairs.join(right, "b").join(left, "a").where(both * 100 >= union * percent).select("a", "b").distinct()
 
 
 def _unsettled(members: DataFrame, labels: DataFrame, leaders: DataFrame | None) -> DataFrame:
