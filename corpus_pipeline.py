@@ -14,6 +14,7 @@ from advisory_lake.llm import minhash, packing, secrets, substring, toxicity
 from advisory_lake.llm.shared import table, text_key, written
 
 TOXIC = 0.5
+NEAR_PERCENT = 80  # similarity of five-word shingles from which a document is a near copy
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,8 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every group."""
-    gone = minhash.near_duplicates(docs).where("not kept").select(
+    """The document with the smallest doc_id of every group linked at ``NEAR_PERCENT`` or more."""
+    gone = minhash.near_duplicates(docs, NEAR_PERCENT).where("not kept").select(
         F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")
     )
     return docs.join(gone, (F.col("doc_id") == F.col("_gone_id")) & (text_key() == F.col("_gone_key")), "left_anti")

@@ -393,3 +393,19 @@ def test_pipeline_stages(spark):
     assert sorted(map(tuple, corpus_pipeline.run(spark, tables_dir).select("doc_id", "piece", "length", "ids_crc32").collect())) == sorted(
         map(tuple, docs.select("doc_id", "piece", "length", "ids_crc32").collect())
     )
+
+
+def test_pipeline_drops_near_copies_from_four_fifths(spark):
+    """Pairs just below, at and above 0.80, and between 0.80 and 0.85, against all pairs."""
+    rows, sets = [], {}
+    for pair, (n_words, changed) in enumerate([(94, 10), (104, 8), (104, 9), (104, 10), (104, 11), (104, 12), (104, 13), (404, 43), (404, 45)]):
+        words = [f"w{pair}_{k}" for k in range(n_words)]
+        for copy, own in enumerate((words, words[:-changed] + [f"x{pair}_{k}" for k in range(changed)])):
+            text = " ".join(own)
+            rows.append((10 * pair + copy, text, "en", "s", len(text)))
+            sets[10 * pair + copy] = {tuple(own[k : k + 5]) for k in range(n_words - 4)}
+    similar = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+    assert sum(0.8 <= s < 0.85 for s in similar.values()) == 5
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert kept == set(sets) - {b for (_, b), s in similar.items() if s >= 0.8}
