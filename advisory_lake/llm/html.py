@@ -34,7 +34,8 @@ PAGES_AT_ONCE = 64
 SLICE_BYTES = 4 << 20
 
 #: Elements of the language by the way their text is shown.
-HIDDEN = "script style noscript template head title textarea select svg math iframe object canvas".split()
+UNPARSED = "script style title textarea".split()  # hold no elements; without an end tag the rest of the page is theirs
+HIDDEN = "noscript template select svg iframe object canvas".split()  # without an end tag they hide nothing
 BLOCKS = (
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol "
@@ -51,14 +52,21 @@ BOILERPLATE_CLASSES = (
 ARTICLE_TAGS = "article main".split()
 ARTICLE_CLASSES = "article content post entry story body text main page".split()
 
-_BLOCK_SET, _VOID_SET = frozenset(BLOCKS), frozenset(VOID)
+_BLOCK_SET, _VOID_SET, _HIDDEN_SET = frozenset(BLOCKS), frozenset(VOID), frozenset(HIDDEN)
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<hidden>{'|'.join(HIDDEN)})\b(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*(?<!/)>.*?(?:</(?P=hidden)\s*>|\Z)"
+    rf"|<(?P<unparsed>{'|'.join(UNPARSED)})(?=[\s/>])(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*(?<!/)>.*?(?:</(?P=unparsed)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*)>"
     r"|<[!?/a-zA-Z][^<>]*(?:>|\Z|(?=<))",
     re.DOTALL | re.IGNORECASE,
 )
+_HIDDEN_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)"
+    rf"|<(?P<unparsed>{'|'.join(UNPARSED)})(?=[\s/>])(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*(?<!/)>.*?</(?P=unparsed)\s*>"
+    rf"|<(?P<close>/?)(?P<tag>{'|'.join(HIDDEN)})(?=[\s/>])(?P<attributes>(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*)>",
+    re.DOTALL | re.IGNORECASE,
+)
+_HIDES = re.compile(rf"</(?:{'|'.join(HIDDEN)})[\s>]", re.IGNORECASE)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _PARTS = re.compile(r"[^a-z0-9]+")
 
@@ -79,8 +87,31 @@ def _element(tag: str, attributes: str) -> tuple[str, ...]:
     return (tag, *(f".{name}" for name in names))
 
 
+def _hidden_ends(page: str) -> dict[int, int]:
+    """Where hidden elements that have an end tag begin and end. An end tag is that of the last
+    element of its name before it that is still open."""
+    ends: dict[int, int] = {}
+    if not _HIDES.search(page):
+        return ends
+    waiting: dict[str, list[int]] = {tag: [] for tag in HIDDEN}
+    for match in _HIDDEN_TAG.finditer(page):
+        if match["tag"] is None:
+            continue
+        tag = match["tag"].lower()
+        if not match["close"]:
+            if not match["attributes"].endswith("/"):
+                waiting[tag].append(match.start())
+        elif waiting[tag]:
+            ends[waiting[tag].pop()] = match.end()
+    return ends
+
+
 def blocks_of(page: str | None) -> list[Block]:
-    """Leaf blocks in page order; markup, scripts, styles and comments are no text."""
+    """Leaf blocks in page order; markup, scripts, styles and comments are no text.
+
+    The head hides nothing of its own: what may stand in it has no text or is hidden anyway, and
+    anything else ends it, with or without its end tag, and belongs to the body.
+    """
     found: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     pieces: list[str] = []
@@ -94,7 +125,9 @@ def blocks_of(page: str | None) -> list[Block]:
         pieces.clear()
         linked = 0
 
-    for match in _MARKUP.finditer(page or ""):
+    page = page or ""
+    hidden_ends = _hidden_ends(page)
+    while match := _MARKUP.search(page, at):
         if match.start() > at:
             piece = page[at : match.start()]
             pieces.append(piece)
@@ -104,6 +137,12 @@ def blocks_of(page: str | None) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag == "head":
+            close_block()
+            continue
+        if tag in _HIDDEN_SET:
+            at = hidden_ends.get(match.start(), at)  # past its end tag
+            continue
         if match["close"]:
             if tag in _BLOCK_SET:
                 close_block()
@@ -124,7 +163,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if tag not in _VOID_SET and not match["attributes"].endswith("/"):
             stack.append((tag, _element(tag, match["attributes"])))
             links += tag == "a"
-    if page and at < len(page):
+    if at < len(page):
         pieces.append(page[at:])
         linked += len(page) - at if links else 0
     close_block()

@@ -409,3 +409,29 @@ def test_pipeline_drops_near_copies_from_four_fifths(spark):
     docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
     kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
     assert kept == set(sets) - {b for (_, b), s in similar.items() if s >= 0.8}
+
+
+ARTICLE = "<article><p>One two.</p><p>Three four.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<html><head><title>t</title><body>", "</body></html>"),
+        ("<html><head><meta charset=utf-8><title>t</title><script>a='<p>b</p>'</script>", ""),
+        ("<head><style>p {}</style></head><body>", "</body>"),
+        *[(f"<{tag} class='x'>", "") for tag in "noscript template select svg iframe object canvas math".split()],
+        ("<svg><path></p>", "<svg><text>no text</text></svg>"),
+        ("<svg><title>t</svg>", "<object>no <object>text</object> here</object>"),
+        ("<svg><svg><text>no</text></svg><text>text</text></svg>", "<script>to the end " + ARTICLE),
+        ("<canvas/><svg-icon></svg-icon>", "<textarea>to the end " + ARTICLE),
+    ],
+)
+def test_pages_that_leave_elements_open(before, after):
+    assert [b.text for b in html.blocks_of(before + ARTICLE + after)] == ["One two.", "Three four."]
+
+
+def test_formulas_are_text(spark):
+    page = "<head><title>t</title><article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>"
+    [row] = html.main_text(spark.createDataFrame([(1, "u", page)], "page_id LONG, url STRING, html STRING")).collect()
+    assert row.text == "So x=2 holds."
