@@ -27,6 +27,7 @@ _ASSIGN_WORDS = ("passw", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([^-]{16,}?)-----END \1-----")
+_ESCAPED_BREAK = re.compile(r"\\+[nr]")  # of texts inside JSON, which may be inside JSON again
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_.-])")
@@ -51,7 +52,7 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """Spans whose decoded bytes are a private key or a signed token."""
     spans = []
     if "PRIVATE KEY-----" in text:
-        spans += [(m.start(), 3, m.end()) for m in _PEM.finditer(text) if is_private_key(decoded_base64(m[2]))]
+        spans += [(m.start(), 3, m.end()) for m in _PEM.finditer(text) if is_private_key(decoded_base64(_ESCAPED_BREAK.sub(" ", m[2])))]
     inside = [(a, b) for a, _, b in spans]
     for pattern, decode in ((_BASE64, decoded_base64), (_LONG_HEX, bytes.fromhex)):
         for m in pattern.finditer(text):

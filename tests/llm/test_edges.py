@@ -435,3 +435,20 @@ def test_formulas_are_text(spark):
     page = "<head><title>t</title><article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>"
     [row] = html.main_text(spark.createDataFrame([(1, "u", page)], "page_id LONG, url STRING, html STRING")).collect()
     assert row.text == "So x=2 holds."
+
+
+def test_private_keys_inside_json(spark):
+    import base64
+    import json
+
+    key = b"openssh-key-v1\0" + (4).to_bytes(4) + b"none" + bytes(range(256)) * 3
+    body = base64.encodebytes(key).decode().strip()
+    pem = f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----\n"
+    once = json.dumps({"private_key": pem, "client": "c"})
+    for text in (once, json.dumps(once), json.dumps({"private_key": pem.replace("\n", "\r\n")})):
+        start, end = text.index("-----BEGIN"), text.index("KEY-----", text.index("-----END")) + len("KEY-----")
+        docs = spark.createDataFrame([(1, text)], "doc_id LONG, text STRING")
+        [found], [after] = secrets.scan(docs).collect(), secrets.redact(docs).collect()
+        assert found.n_private_key == 1 and f"private_key:{start}:{end}" in found.spans.split(",")
+        assert after.text == text[:start] + "[REDACTED]" + text[end:]
+    assert secrets.confirmed_spans(once.replace(body[:40], "not a key" * 5)) == []
