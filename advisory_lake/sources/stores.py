@@ -119,8 +119,9 @@ def _folder_lister(uri: str, dot_names: bool):
 
 
 def read_contents(listing: DataFrame, root: str) -> DataFrame:
-    """relative_path and file_content of listed files. A file that has vanished or cannot be
-    read is left out, as a count against the listing shows."""
+    """relative_path and file_content of listed files. A file that has vanished since or may
+    not be read is left out, as a count against the listing shows; any other error fails the
+    task, which Spark tries again."""
     return listing.select("relative_path").mapInArrow(
         _file_reader(arrow_uri(root)), "relative_path STRING, file_content BINARY"
     )
@@ -145,7 +146,7 @@ def _file_reader(uri: str):
                 try:
                     with store.open_input_stream(f"{base}/{name}", compression=None) as file:
                         content = file.read()
-                except OSError:
+                except (FileNotFoundError, PermissionError):
                     continue
                 names.append(name)
                 contents.append(content)

@@ -36,7 +36,7 @@ def read_files(
     listing: DataFrame | None = None,
 ) -> DataFrame:
     """Snapshot rows of a tree: relative path and bytes of each file, of those in ``listing``
-    when one is given. A file that vanishes or cannot be read is left out."""
+    when one is given. A file that vanishes or may not be read is left out; other errors fail."""
     listing = walk(spark, root) if listing is None else listing
     tasks = max(few_tasks(spark), -(-listing.count() // files_per_task))
     return read_contents(listing.repartition(tasks, "relative_path"), root)

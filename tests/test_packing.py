@@ -155,6 +155,12 @@ def test_a_file_that_vanishes_is_left_out(spark, root):
     assert sorted(r.relative_path for r in files.collect()) == sorted(set(CONTENT) - {"README.md"})
 
 
+def test_other_errors_of_a_store_fail(spark, root):
+    listed = spark.createDataFrame([("README.md",), ("cves",)], "relative_path STRING")  # a folder is no file
+    with pytest.raises(PySparkException):
+        read_files(spark, root, listing=listed).collect()
+
+
 def test_leftovers_of_lost_tasks_are_not_listed(spark, root):
     Path(root, "cves/.0123456789abcdef.part").write_bytes(b"half")
     assert list_files(spark, root).count() == len(CONTENT)
