@@ -28,9 +28,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path)
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    )

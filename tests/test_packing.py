@@ -169,7 +169,7 @@ def test_leftovers_of_lost_tasks_are_not_listed(spark, root):
 def test_shuffle_only_when_asked(spark, packed, tmp_path):
     dealt = packing.unpack_snapshot(spark, packed, str(tmp_path / "x"), tasks=3)
     plain = packing.unpack_snapshot(spark, packed, str(tmp_path / "x"), tasks=None)
-    from conftest import plan_of
+    from harness import plan_of
 
     assert "hashpartitioning(relative_path" in plan_of(dealt)
     assert "Exchange" not in plan_of(plain)
@@ -220,7 +220,7 @@ def test_one_meaning_of_a_path():
 
 
 def test_content_is_read_for_named_files_only(spark, packed, root):
-    from conftest import plan_of
+    from harness import plan_of
 
     names = plan_of(packing.sample_paths(read_snapshot(spark, packed), 3))
     assert "file_content" not in names

@@ -1,7 +1,7 @@
 """The plans have the shape that holds at scale."""
 
 import pytest
-from conftest import plan_of
+from harness import plan_of
 
 from advisory_lake.operators import bronze, gold, partitioning, silver
 from advisory_lake.plans import registry

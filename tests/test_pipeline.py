@@ -47,7 +47,7 @@ def test_tables_of_an_earlier_session_are_overwritten(spark, lake):
 
 
 def test_bronze_is_spread_by_id(spark, lake):
-    from conftest import plan_of
+    from harness import plan_of
     from pyspark.sql import functions as F
 
     from advisory_lake.operators.partitioning import even_partitions
