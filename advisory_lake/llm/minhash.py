@@ -10,6 +10,8 @@ without forming all their pairs.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -33,13 +35,11 @@ _LOW = U64(0xFFFFFFFF)
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     """The sorted distinct shingle numbers of each text; fewer words than a shingle make one."""
     words = words_of(texts, lower=True)
-    runs, whole = words.sequences(SHINGLE_WORDS), words.whole(0)
+    runs = {length: words.sequences(length) for length in range(1, SHINGLE_WORDS + 1)}
     sets = []
-    for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
-        if b - a >= SHINGLE_WORDS:
-            sets.append(np.unique(runs[a : b - SHINGLE_WORDS + 1]))
-        else:
-            sets.append(whole[i : i + 1] if b > a else whole[:0])
+    for a, b in zip(words.first[:-1], words.first[1:]):
+        length = min(b - a, SHINGLE_WORDS)
+        sets.append(np.unique(runs[length][a : b - length + 1]) if length else np.empty(0, U64))
     return sets
 
 
@@ -113,16 +113,15 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                 numbers = np.zeros((len(sets), bands), U64)
                 if some:
                     numbers[some] = band_numbers(signatures([sets[i] for i in some], bands * rows), bands, rows)
-                digests = [
-                    np.array([mixed(s, k).sum(dtype=U64) for s in sets], U64) for k in (101, 102)
-                ]
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                digests = np.frombuffer(b"".join(digests), U64).reshape(-1, 2)
                 offsets = np.arange(0, len(sets) * bands + 1, bands, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         part.column(2),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        *(pa.array(as_long(d)) for d in digests),
+                        *(pa.array(as_long(d.copy())) for d in digests.T),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(as_long(numbers.reshape(-1)))),
                     ],
                     names=["doc_id", "text_key", "n_shingles", "s1", "s2", "bands"],

@@ -82,7 +82,7 @@ def _digest(words: Words, i: int, keep: np.ndarray | None = None) -> str:
 
 
 def _first_look(docs: DataFrame) -> DataFrame:
-    """For each row: number of words, digests of the word sequence, of all words, its anchors."""
+    """For each row: number of words, SHA-256 of the word sequence, its anchors."""
 
     def run(batches):
         for batch in batches:
@@ -103,18 +103,16 @@ def _first_look(docs: DataFrame) -> DataFrame:
                         part.column(0),
                         part.column(2),
                         pa.array(words.counts().astype(np.int64)),
-                        pa.array(as_long(words.whole(0))),
-                        pa.array(as_long(words.whole(1))),
                         pa.array([_digest(words, i) for i in range(len(part))], pa.string()),
                         lists,
                         places,
                     ],
-                    names=["doc_id", "text_key", "n_words", "w1", "w2", "all_sha256", "anchors", "places"],
+                    names=["doc_id", "text_key", "n_words", "all_sha256", "anchors", "places"],
                 )
 
     return docs.mapInArrow(
         run,
-        "doc_id LONG, text_key LONG, n_words LONG, w1 LONG, w2 LONG, all_sha256 STRING, "
+        "doc_id LONG, text_key LONG, n_words LONG, all_sha256 STRING, "
         "anchors ARRAY<LONG>, places ARRAY<INT>",
     )
 
@@ -276,11 +274,13 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     # texts that are whole copies: only the smallest doc_id goes on
     same = looked.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= WINDOW_WORDS))
-    firsts = same.groupBy("w1", "w2", "n_words").agg(F.min("doc_id").alias("first_id"))
-    rows = looked.select("doc_id", "text_key", "n_words", "w1", "w2", "all_sha256")
+    firsts = same.groupBy("all_sha256", "n_words").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    firsts = firsts.where("n > 1").select(F.unhex("all_sha256").alias("whole"), "n_words", "first_id")
+    # texts that can have no copy are joined on a key of their own, so that they are spread as well
     short = F.col("n_words") < WINDOW_WORDS
-    key = F.when(short, F.xxhash64("doc_id", "text_key")).otherwise(F.col("w1"))
-    rows = rows.withColumn("w1", key).join(firsts, ["w1", "w2", "n_words"], "left")
+    key = F.when(short, F.encode(F.hex(F.xxhash64("doc_id", "text_key")), "UTF-8")).otherwise(F.unhex("all_sha256"))
+    rows = looked.select("doc_id", "text_key", "n_words", "all_sha256", key.alias("whole"))
+    rows = rows.join(firsts, ["whole", "n_words"], "left")
     rows = written(
         rows.select(
             "doc_id", "text_key", "n_words", "all_sha256", F.coalesce(F.expr("doc_id > first_id"), F.lit(False)).alias("copy")

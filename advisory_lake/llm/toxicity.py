@@ -260,7 +260,7 @@ def train(docs: DataFrame, labels: DataFrame, most_docs: int = TRAIN_DOCS) -> Mo
 def _origins(texts: pa.Array) -> np.ndarray:
     """The smallest number of a five-word run of each text, the same for most near copies."""
     words = words_of(texts, lower=True)
-    runs, whole = words.sequences(5), words.whole(0)
+    runs, whole = words.sequences(5), words.whole()
     ends = zip(words.first[:-1], words.first[1:])
     return as_long(np.array([runs[a : b - 4].min() if b - a >= 5 else whole[i] for i, (a, b) in enumerate(ends)], np.uint64))
 

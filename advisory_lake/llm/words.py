@@ -1,12 +1,14 @@
 """Words, shingles and windows of whole texts as 64-bit numbers, for batches of texts at once.
 
-A word is a run of bytes other than space and the control characters 9 to 13. Its number
-is a polynomial in its bytes, taken from running sums, so that no word becomes a Python
-object. Numbers are the same in every process.
+A word is a run of bytes other than space and the control characters 9 to 13. Its number comes
+from its bytes eight at a time, each step mixed so that no difference cancels another; words of
+more than ``LONG_BYTES`` are digested one by one. Numbers of runs come from those of their halves
+in the same way. Numbers are the same in every process.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,8 +19,9 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _ASCII_LOWER = np.arange(256, dtype=np.uint8)
 _ASCII_LOWER[65:91] += 32
-_BASE = 0x9E6C63D0876A9A47 | 1
-_WORD_BASES = (0xD1B54A32D192ED03, 0xAEF17502108EF2D9)
+LONG_BYTES = 64
+_PAIR = U64(0xD1B54A32D192ED03)  # odd, so that it loses no bit of the left half
+_TAIL = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)  # the first k of eight bytes
 
 
 def mixed(values: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -30,28 +33,6 @@ def mixed(values: np.ndarray, salt: int = 0) -> np.ndarray:
         return x ^ (x >> U64(31))
 
 
-class _Powers:
-    """Powers of an odd number and of its inverse, modulo 2**64."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, U64)
-
-    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
-            for name, base in (("up", self.base), ("down", self.inverse)):
-                steps = np.full(size, base, U64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
-        return self.up[:n], self.down[:n]
-
-
-_byte_powers = _Powers(_BASE)
-_word_powers = tuple(_Powers(base) for base in _WORD_BASES)
-_BYTE_VALUES = mixed(np.arange(256, dtype=U64), 77)
-
-
 @dataclass
 class Words:
     """Words of several texts, in order: first[i] to first[i + 1] are those of text i."""
@@ -66,20 +47,50 @@ class Words:
         return np.diff(self.first)
 
     def sequences(self, length: int, which: int = 0) -> np.ndarray:
-        """A number for each run of so many words, also for runs that cross texts."""
-        n = len(self.numbers)
-        if n < length:
+        """A number for each run of so many words, also for runs that cross texts. ``which``
+        chooses between numbers that have nothing to do with each other."""
+        if len(self.numbers) < length:
             return np.empty(0, U64)
-        up, down = _word_powers[which](n)
-        sums = np.concatenate([np.zeros(1, U64), np.cumsum(self.numbers * up, dtype=U64)])
-        return mixed((sums[length:] - sums[:-length]) * down[: n - length + 1], length)
-
-    def whole(self, which: int) -> np.ndarray:
+        half = self.numbers if which == 0 else _numbers(self.data, self.starts, self.ends, which)
+        run, held, width = None, 0, 1
+        while width <= length:  # runs of 1, 2, 4 ... words; those that make up ``length`` are put together
+            if length & width:
+                run = half if run is None else _paired(run, half[held:], width)
+                held += width
+            width *= 2
+            if width <= length:
+                half = _paired(half, half[width // 2 :], width)
+        return mixed(run, length)
+
+    def whole(self) -> np.ndarray:
         """A number for the word sequence of each text."""
-        up, down = _word_powers[which](len(self.numbers) + 1)
-        sums = np.concatenate([np.zeros(1, U64), np.cumsum(self.numbers * up[:-1], dtype=U64)])
-        a, b = self.first[:-1], self.first[1:]
-        return mixed((sums[b] - sums[a]) * down[a] + (b - a).astype(U64), 3)
+        plain = [self.numbers[a:b].tobytes() for a, b in zip(self.first[:-1], self.first[1:])]
+        return np.frombuffer(b"".join(hashlib.blake2b(p, digest_size=8).digest() for p in plain), U64)
+
+
+def _paired(left: np.ndarray, right: np.ndarray, width: int) -> np.ndarray:
+    """Numbers of runs from those of their first and second parts, as far as both reach."""
+    n = min(len(left), len(right))
+    with np.errstate(over="ignore"):
+        return mixed(left[:n] * _PAIR + right[:n], 1000 + width)
+
+
+def _numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """The numbers of words, given the bytes of all texts."""
+    sizes = ends - starts
+    numbers = mixed(sizes.astype(U64), 50 + which)
+    # the eight bytes from every place on
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    rows, step = np.flatnonzero(sizes <= LONG_BYTES), 0
+    while len(rows):
+        left = sizes[rows] - step
+        numbers[rows] = mixed(numbers[rows] ^ (eight[starts[rows] + step] & _TAIL[np.minimum(left, 8)]), 60 + which)
+        rows, step = rows[left > 8], step + 8
+    for i in np.flatnonzero(sizes > LONG_BYTES):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8, salt=bytes([which])).digest()
+        numbers[i] = int.from_bytes(digest, "little")
+    return numbers
 
 
 def words_of(texts: pa.Array, lower: bool = False) -> Words:
@@ -106,9 +117,7 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
         stops[n] = inside[-1]
     stops[cuts] |= inside[cuts - 1]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops)
-    up, down = _byte_powers(n + 1)
-    sums = np.concatenate([np.zeros(1, U64), np.cumsum(_BYTE_VALUES[data] * up[:-1], dtype=U64)])
-    numbers = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64), 1)
+    numbers = _numbers(data, starts, ends)
     return Words(data, starts, ends, numbers, np.searchsorted(starts, offsets))
 
 

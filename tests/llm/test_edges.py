@@ -382,7 +382,7 @@ def test_pipeline_stages(spark):
             assert after.where("n_chars <> length(text)").count() == 0
             assert after.count() <= docs.count()
         if name == "near duplicates":
-            kept = {r.doc_id for r in minhash.near_duplicates(docs).where("kept").collect()}
+            kept = {r.doc_id for r in minhash.near_duplicates(docs, corpus_pipeline.NEAR_PERCENT).where("kept").collect()}
             assert {r.doc_id for r in after.collect()} == kept
         if name == "repeated passages":
             want = {r.doc_id: r.kept_sha256 for r in substring.removed_words(docs).collect()}
@@ -452,3 +452,54 @@ def test_private_keys_inside_json(spark):
         assert found.n_private_key == 1 and f"private_key:{start}:{end}" in found.spans.split(",")
         assert after.text == text[:start] + "[REDACTED]" + text[end:]
     assert secrets.confirmed_spans(once.replace(body[:40], "not a key" * 5)) == []
+
+
+def _thue_morse(n):
+    """Sequences that polynomials modulo a power of two cannot tell from their complement."""
+    return [i.bit_count() % 2 for i in range(n)]
+
+
+def test_sequences_that_defeat_polynomials_are_told_apart(spark):
+    some = _thue_morse(4096)
+    texts = {
+        1: " ".join("a" if bit else "b" for bit in some) + " end",
+        2: " ".join("b" if bit else "a" for bit in some) + " end",
+        3: "".join("a" if bit else "b" for bit in some[:2048]) + " one two three four five",
+        4: "".join("b" if bit else "a" for bit in some[:2048]) + " one two three four five",
+        5: "".join("ab"[bit] for bit in some[:2048]),
+        6: "".join("ba"[bit] for bit in some[:2048]),
+    }
+    # windows of 50 are common to texts 1 and 2, so a plain one tells what each keeps
+    seen = {tuple(texts[1].split()[k : k + 50]) for k in range(4048)}
+    own, keep = texts[2].split(), [True] * 4097
+    for k in range(4048):
+        if tuple(own[k : k + 50]) in seen:
+            keep[k : k + 50] = [False] * 50
+    rows = [(i, t, "en", "s", len(t)) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
+    removed = {r.doc_id: r.n_removed for r in substring.removed_words(docs).collect()}
+    assert removed == {1: 0, 2: keep.count(False), 3: 0, 4: 0, 5: 0, 6: 0}
+    cut = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
+    assert cut[2].split() == [w for w, k in zip(own, keep) if k] and cut[1] == texts[1]
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs).where("doc_id > 2").collect()}
+    assert found == {3: (2, 3), 4: (2, 4), 5: (1, 5), 6: (1, 6)}
+
+
+def test_sequence_numbers_are_those_of_equal_words():
+    import pyarrow as pa
+
+    from advisory_lake.llm.words import LONG_BYTES, words_of
+
+    rng = random.Random(8)
+    pool = ["a", "ab", "x" * 8, "x" * 9, "y" * LONG_BYTES, "y" * (LONG_BYTES + 1), "é", "ab\u0000", "\u0000"]
+    texts = [" ".join(rng.choice(pool) for _ in range(rng.randrange(70))) for _ in range(40)]
+    words = words_of(pa.array([*texts, None, ""]))
+    flat = [w for t in texts for w in t.split(" ") if w]
+    for length in (1, 2, 3, 5, 8, 16, 50):
+        for which in (0, 1):
+            known = {}
+            numbers = words.sequences(length, which)
+            assert len(numbers) == len(flat) - length + 1
+            for k, number in enumerate(numbers.tolist()):
+                assert known.setdefault(tuple(flat[k : k + length]), number) == number
+            assert len(set(known.values())) == len(known)
