@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from advisory_lake.llm import bpe, html, minhash, packing, quality, secrets, substring, topk, toxicity, warc
+from advisory_lake.llm import bpe, html, minhash, negatives, neighbours, packing, periodic, quality, secrets, substring, topk, toxicity, warc
 from advisory_lake.llm.shared import table
 
 
@@ -54,6 +55,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.periodic_runs(periodic.with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(negatives.labelled(table(spark, sf_dir, "embeddings")), F.expr("vec_id % 50 = 0"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = neighbours.usable(table(spark, sf_dir, "embeddings"))
+    return neighbours.nearest(vectors, F.expr("vec_id % 100 = 0"), 10)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_warc_round_trip,
@@ -66,5 +80,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_minhash_near_duplicates,
         op9_bpe_round_trip,
         op10_toxicity,
+        op11_periodic_runs,
+        op12_hard_negatives,
+        op13_nearest_neighbours,
     )
     return {query.__name__: query for query in registered}
