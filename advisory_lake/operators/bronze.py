@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from advisory_lake import schemas
 from advisory_lake.functions.scalars import instant, utc_wall_time
-from advisory_lake.sources.records import is_taken, lenient_text, parse_packed, parsed, taken
+from advisory_lake.sources.records import cut_files, is_taken, packed_documents, records_of
 
 PUBLICATION_YEAR = 2024
 
@@ -22,34 +21,29 @@ def keep_published(records: DataFrame, year: int = PUBLICATION_YEAR) -> DataFram
     return records.filter(metadata["cveId"].isNotNull()).filter(_published_year(metadata) == year)
 
 
+def kept_documents(documents: DataFrame, year: int = PUBLICATION_YEAR) -> DataFrame:
+    """The kept records among cut documents. Id and date, which cutting has looked at, decide, so
+    that the full parse is spent on the wanted records only."""
+    header = F.col("header.cveMetadata")
+    wanted = documents.filter("fault is null").filter(header["cveId"].isNotNull() & (_published_year(header) == year))
+    return records_of(wanted)
+
+
 def published_records(
     snapshot: DataFrame, year: int = PUBLICATION_YEAR, folder: str = "", suffix: str = ""
 ) -> DataFrame:
-    """The kept records of packed files: of all, or of those in a folder or with a suffix.
-
-    A first, shallow parse looks at id and date only, so that the full parse is spent on
-    the files that hold a wanted record.
-    """
-
-    def wanted(record: Column) -> Column:
-        metadata = record["cveMetadata"]
-        return metadata["cveId"].isNotNull() & (_published_year(metadata) == year)
-
-    headers = parsed(F.col("file_content"), schemas.RECORD_HEADER)
-    with lenient_text(snapshot.sparkSession):
-        files = taken(snapshot, folder, suffix).filter(F.exists(headers, wanted))
-    return keep_published(parse_packed(files), year)
+    """The kept records of packed files: of all, or of those in a folder or with a suffix."""
+    return kept_documents(packed_documents(snapshot, folder, suffix), year)
 
 
 def files_summary(snapshot: DataFrame, folder: str = "", suffix: str = "") -> DataFrame:
-    """How many files ingest takes, leaves out, and finds no record in."""
-    records = F.coalesce(F.size(parsed(F.col("file_content"), schemas.RECORD_HEADER)), F.lit(0))
-    with lenient_text(snapshot.sparkSession):
-        counted = snapshot.select(is_taken(folder, suffix).alias("taken"), records.alias("n"))
+    """How many files ingest takes, leaves out, and finds no document or several in."""
+    documents = F.when(F.col("pieces").isNull(), 1).otherwise(F.size(F.filter("pieces", lambda piece: piece["whole"])))
+    counted = cut_files(snapshot).select(is_taken(folder, suffix).alias("taken"), documents.alias("n"))
     return counted.agg(
         F.count_if("taken").alias("files_taken"),
         F.count_if(~F.col("taken")).alias("files_left_out"),
-        F.count_if(F.col("taken") & (F.col("n") <= 0)).alias("files_without_record"),
+        F.count_if(F.col("taken") & (F.col("n") == 0)).alias("files_without_record"),
         F.count_if(F.col("taken") & (F.col("n") > 1)).alias("files_with_several"),
     )
 

@@ -57,6 +57,28 @@ class Feeds:
         documents.write.mode("overwrite").json(path)
         return path
 
+    @cached_property
+    def mixed_lines(self) -> str:
+        """Large files of many documents, with bad lines and cut-off ones among them."""
+        path = f"{self.folder}/mixed-lines"
+        with utc(self.spark):
+            standin.mixed_texts(self.table("orders")).select("text").write.mode("overwrite").text(path)
+        return path
+
+    @cached_property
+    def mixed_snapshot(self) -> str:
+        """The same, one small file for each order."""
+        with utc(self.spark):
+            texts = standin.mixed_texts(self.table("orders"))
+            name = F.concat(F.expr("o_orderkey div 1000"), F.lit("xxx/"), "o_orderkey", F.lit(".json"))
+            files = texts.select(name.alias("relative_path"), F.encode("text", "UTF-8").alias("file_content"))
+            return self._stored("mixed-packed", files)
+
+    @cached_property
+    def odd_snapshot(self) -> str:
+        with utc(self.spark):
+            return self._stored("odd-packed", standin.odd_record_snapshot(self.table("orders")))
+
     @cached_property
     def lake(self) -> Lake:
         suffix = self.folder.rpartition("-")[2]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from advisory_lake.operators import bronze, quality, silver
@@ -12,7 +12,8 @@ from advisory_lake.operators.partitioning import even_partitions
 from advisory_lake.session import utc
 from advisory_lake.sources import tables
 from advisory_lake.sources.snapshot import read_snapshot
-from advisory_lake.sources.tree import read_files
+from advisory_lake.sources.records import read_counts, taken, tree_documents
+from advisory_lake.sources.stores import walk
 
 
 @dataclass(frozen=True)
@@ -29,6 +30,11 @@ class Lake:
     def records(self) -> str:
         return f"{self.bronze_schema}.records"
 
+    @property
+    def ingest_counts(self) -> str:
+        """One row on the last ingest of a tree: what was listed, read, lost, cut and rejected."""
+        return f"{self.bronze_schema}.ingest_counts"
+
     @property
     def cves(self) -> str:
         return f"{self.silver_schema}.cves"
@@ -53,8 +59,17 @@ class Lake:
     def ingest_tree(
         self, root: str, year: int = bronze.PUBLICATION_YEAR, folder: str = "", suffix: str = ""
     ) -> DataFrame:
-        """Bronze from a tree of files, by the same rules."""
-        return self._write_bronze(bronze.published_records(read_files(self.spark, root), year, folder, suffix))
+        """Bronze from a tree of files, by the same rules. Files that vanish or may not be read are
+        left out and counted; the counts are taken while the records are written, and stored as
+        the table ``ingest_counts``."""
+        files = taken(walk(self.spark, root), folder, suffix)
+        seen = Observation("ingest")
+        documents = tree_documents(self.spark, root, listing=files).observe(seen, *read_counts())
+        records = self._write_bronze(bronze.kept_documents(documents, year))
+        counts = seen.get
+        counted = files.agg(F.count(F.lit(1)).alias("files_listed"))
+        self.write(counted.select("*", *(F.lit(n).cast("long").alias(name) for name, n in counts.items())), self.ingest_counts)
+        return records
 
     def _write_bronze(self, kept: DataFrame) -> DataFrame:
         # Few rows are left of what was read: spread them evenly over right-sized files

@@ -166,6 +166,26 @@ def all_sql() -> dict[str, str]:
             f"""SELECT e.* FROM ({ENTRIES}) e
                 UNION ALL SELECT e.* FROM ({ENTRIES} WHERE o_orderstatus = 'O') e""",
         ),
+        "bronze_ingest_mixed": _with(
+            *kept,
+            f"""SELECT e.* FROM ({ENTRIES} WHERE o_orderstatus <> 'O' OR o_orderpriority <> '2-HIGH') e
+                UNION ALL SELECT e.* FROM ({ENTRIES}
+                  WHERE o_orderstatus <> 'O' OR o_orderpriority NOT IN ('1-URGENT', '2-HIGH')) e""",
+        ),
+        "bronze_rejects": """
+            WITH pieces AS (
+              SELECT *, CASE
+                WHEN o_orderstatus = 'F' THEN 'no record of ' || o_orderkey
+                WHEN o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' THEN '{"cut off": "' || o_orderkey || '", "at": ['
+                WHEN o_orderstatus = 'O' AND o_orderpriority = '3-MEDIUM' THEN o_orderkey::VARCHAR END AS text FROM orders)
+            SELECT (o_orderkey // 1000) || 'xxx/' || o_orderkey || '.json' AS relative_path, 'no document' AS reason, text
+            FROM pieces WHERE text IS NOT NULL""",
+        "bronze_ingest_counts": """
+            SELECT true AS all_read, 0::BIGINT AS files_lost,
+              sum(CASE WHEN o_orderstatus <> 'O' THEN 2
+                WHEN o_orderpriority = '1-URGENT' THEN 1 WHEN o_orderpriority = '2-HIGH' THEN 0 ELSE 2 END)::BIGINT AS documents,
+              count(*) FILTER (o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_orderpriority IN ('1-URGENT', '3-MEDIUM'))) AS rejected
+            FROM orders""",
         "bronze_files_summary": """
             SELECT count(*) FILTER (o_orderstatus <> 'O') AS files_taken,
               count(*) FILTER (o_orderstatus = 'O') AS files_left_out,

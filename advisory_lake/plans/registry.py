@@ -161,7 +161,32 @@ def _entries(kept: DataFrame) -> DataFrame:
 @query
 def bronze_ingest_files(feed: Feeds) -> DataFrame:
     """From the tree, by the same rules as from a snapshot."""
-    return _entries(bronze.published_records(tree.read_files(feed.spark, feed.record_tree), YEAR))
+    return _entries(bronze.kept_documents(records.tree_documents(feed.spark, feed.record_tree), YEAR))
+
+
+@query
+def bronze_ingest_mixed(feed: Feeds) -> DataFrame:
+    """From large files in which documents stand beside bad lines; several tasks cut each file."""
+    documents = records.tree_documents(feed.spark, feed.mixed_lines, suffix=".txt", range_bytes=1 << 20)
+    return _entries(bronze.kept_documents(documents, YEAR))
+
+
+@query
+def bronze_rejects(feed: Feeds) -> DataFrame:
+    """Every rejected piece of the same documents, packed in small files, with file and place."""
+    packed = snapshot.read_snapshot(feed.spark, feed.mixed_snapshot)
+    return records.rejected(records.packed_documents(packed)).select("relative_path", "reason", "text")
+
+
+@query
+def bronze_ingest_counts(feed: Feeds) -> DataFrame:
+    """What an ingest of the tree has listed, read, lost, cut and rejected on the way."""
+    folder = feed.new_folder("counted")
+    lake = Lake(feed.spark, folder, bronze_schema="counted_" + folder.rpartition("-")[2])
+    lake.ingest_tree(feed.mixed_lines, YEAR, suffix=".txt")
+    counts = tables.read_table(feed.spark, lake.ingest_counts)
+    listed_and_read = (F.col("files_listed") == F.col("files_read")).alias("all_read")
+    return counts.select(listed_and_read, "files_lost", "documents", "rejected")
 
 
 @query
@@ -172,14 +197,14 @@ def bronze_ingest_lines(feed: Feeds) -> DataFrame:
 @query
 def bronze_ingest_encodings(feed: Feeds) -> DataFrame:
     """Documents with a byte-order mark, in UTF-16, and two to a file."""
-    packed = standin.odd_record_snapshot(feed.table("orders"))
+    packed = snapshot.read_snapshot(feed.spark, feed.odd_snapshot)
     return _entries(bronze.published_records(packed, YEAR))
 
 
 @query
 def bronze_files_summary(feed: Feeds) -> DataFrame:
     """What ingest takes and leaves out of the same files, when asked for JSON names only."""
-    return bronze.files_summary(standin.odd_record_snapshot(feed.table("orders")), suffix=".json")
+    return bronze.files_summary(snapshot.read_snapshot(feed.spark, feed.odd_snapshot), suffix=".json")
 
 
 @query

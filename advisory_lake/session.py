@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -91,6 +94,23 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder.name
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once per application; they need no copy of it before."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parent
+    handle, path = tempfile.mkstemp(prefix="advisory-lake-", suffix=".zip")
+    with os.fdopen(handle, "wb") as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(top.rglob("*.py")):
+            archive.write(source, source.relative_to(top.parent))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 _run_folders: dict[str, list[str]] = {}
 
 

@@ -1,7 +1,7 @@
 """Nested JSON records from the bytes of files, in a tree or a packed snapshot alike.
 
-A file may hold one document, compact or pretty-printed, an array of documents, or several
-documents one after another. A byte-order mark is dropped, and UTF-16 text is read as such.
+Files are cut into documents first (``sources.documents``), so that a bad one beside them costs
+no good one. Every document and every rejected piece is a row with its file and place.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from advisory_lake import schemas
 from advisory_lake.functions.paths import clean_path
 from advisory_lake.session import modest_listing, settings
-from advisory_lake.sources.tree import read_files
+from advisory_lake.sources.documents import INCOMPLETE, OPENED, RANGE_BYTES, UNREADABLE, cut_texts, cut_tree, documents_of
+from advisory_lake.sources.stores import walk
 
 RECORD_FOLDER = "cves"
 
@@ -27,8 +28,8 @@ def read_record_lines(spark: SparkSession, root: str) -> DataFrame:
 
 def read_record_files(spark: SparkSession, root: str, folder: str = "", suffix: str = "") -> DataFrame:
     """Records of all files below ``root``, or of those in a folder or with a suffix; a row of
-    nulls for a file that holds no record."""
-    return parse_packed(taken(read_files(spark, root), folder, suffix))
+    nulls for a piece that is no record and for a file without any."""
+    return records_of(tree_documents(spark, root, folder, suffix))
 
 
 def taken(snapshot: DataFrame, folder: str = "", suffix: str = "") -> DataFrame:
@@ -55,24 +56,64 @@ def text_of(content: Column) -> Column:
     )
 
 
-def documents_in(text: Column) -> Column:
-    """The text as one JSON array: documents on lines of their own become its elements. A line
-    break cannot stand inside a JSON string, so no text is touched."""
-    joined = F.regexp_replace(F.trim(text), r"\}[ \t]*[\r\n]\s*\{", "},{")
-    return F.when(joined.startswith("["), joined).otherwise(F.concat(F.lit("["), joined, F.lit("]")))
+def cut_files(snapshot: DataFrame, folder: str = "", suffix: str = "") -> DataFrame:
+    """The texts of packed files, cut where they are not one record each."""
+    with lenient_text(snapshot.sparkSession):
+        return cut_texts(taken(snapshot, folder, suffix), text_of(F.col("file_content")), schemas.RECORD_HEADER)
 
 
-def parsed(content: Column, schema: str = schemas.RECORD) -> Column:
-    """The records in a file's bytes, as an array; text that is no record gives null."""
-    return F.from_json(documents_in(text_of(content)), f"ARRAY<STRUCT<{schema}>>")
+def packed_documents(snapshot: DataFrame, folder: str = "", suffix: str = "") -> DataFrame:
+    """relative_path, place, text, fault and header of every piece of packed files; a row of nulls
+    for a file without any. Places count bytes of the decoded text."""
+    return documents_of(cut_files(snapshot, folder, suffix), schemas.RECORD_HEADER)
+
+
+def tree_documents(
+    spark: SparkSession,
+    root: str,
+    folder: str = "",
+    suffix: str = "",
+    listing: DataFrame | None = None,
+    range_bytes: int = RANGE_BYTES,
+) -> DataFrame:
+    """The same of the files of a tree, whatever their size, and a row besides for each file that
+    was opened or could not be read."""
+    files = taken(walk(spark, root) if listing is None else listing, folder, suffix)
+    header = F.from_json("text", f"STRUCT<{schemas.RECORD_HEADER}>")
+    return cut_tree(spark, root, files, range_bytes).withColumn("header", F.when(F.col("fault").isNull(), header))
+
+
+def records_of(documents: DataFrame, schema: str = schemas.RECORD) -> DataFrame:
+    """The record of every piece, a row of nulls for one that is none and for a file without
+    pieces. ``schema`` may be any part of the record's."""
+    pieces = documents.filter(~F.coalesce(F.col("fault").isin(OPENED, UNREADABLE), F.lit(False)))
+    text = F.when(F.col("fault").isNull(), F.col("text"))
+    return pieces.select(F.from_json(text, f"STRUCT<{schema}>").alias("record")).select("record.*")
 
 
 def parse_packed(files: DataFrame, schema: str = schemas.RECORD) -> DataFrame:
-    """The records of files without recreating any; a row of nulls for one that holds no
-    record. ``schema`` may be any part of the record's."""
-    with lenient_text(files.sparkSession):
-        entries = files.select(F.explode_outer(parsed(F.col("file_content"), schema)).alias("record"))
-    return entries.select("record.*")
+    """The records of packed files without recreating any."""
+    return records_of(packed_documents(files), schema)
+
+
+def rejected(documents: DataFrame) -> DataFrame:
+    """relative_path, place, reason and text of the pieces that are no JSON object, and of the
+    files that could not be read (no place, no text)."""
+    broken = F.when(F.col("text").isNotNull() & F.try_parse_json("text").isNull(), F.lit(INCOMPLETE))
+    reason = F.coalesce("fault", broken)
+    found = documents.withColumn("reason", reason).filter(F.col("reason") != OPENED)
+    return found.select("relative_path", "place", "reason", "text")
+
+
+def read_counts() -> list[Column]:
+    """What to count over the documents of a tree."""
+    fault = F.coalesce("fault", F.lit(""))
+    return [
+        F.count_if(fault == OPENED).alias("files_read"),
+        F.count_if(fault == UNREADABLE).alias("files_lost"),
+        F.count_if((fault == "") & F.col("text").isNotNull()).alias("documents"),
+        F.count_if(fault == INCOMPLETE).alias("rejected"),
+    ]
 
 
 def lenient_text(spark: SparkSession):

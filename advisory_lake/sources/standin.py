@@ -135,6 +135,23 @@ def odd_record_snapshot(orders: DataFrame) -> DataFrame:
     return orders.selectExpr(f"concat_ws('/', {folder}, {name}) AS relative_path", f"{content} AS file_content")
 
 
+def mixed_texts(orders: DataFrame) -> DataFrame:
+    """The same documents with bad company, as texts of some lines each: a bad line between two
+    of them, two on one line, one cut off before another, an array with other values, or two
+    pretty-printed ones. Each names its order."""
+    text, pretty = f"to_json({DOCUMENT})", f"to_json({DOCUMENT}, map('pretty', 'true'))"
+    content = f"""
+        CASE
+          WHEN o_orderstatus = 'F' THEN concat({text}, '\\n', 'no record of ', o_orderkey, '\\n', {text})
+          WHEN o_orderstatus = 'P' THEN concat({text}, {text})
+          WHEN o_orderpriority = '1-URGENT' THEN concat('{{"cut off": "', o_orderkey, '", "at": [\\n', {text})
+          WHEN o_orderpriority = '2-HIGH' THEN '  '
+          WHEN o_orderpriority = '3-MEDIUM' THEN concat('[', {text}, ', ', o_orderkey, ', ', {text}, ']')
+          ELSE concat({pretty}, '\\n', {pretty}) END
+    """
+    return orders.selectExpr("o_orderkey", f"{content} AS text")
+
+
 def document_snapshot(documents: DataFrame) -> DataFrame:
     """Whole texts as packed files: language as the year folder, at most a thousand files
     in a folder, some names that are not JSON, some paths with backslashes."""
