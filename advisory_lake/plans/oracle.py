@@ -158,7 +158,11 @@ def all_sql() -> dict[str, str]:
               SELECT 'cves' AS folder, count(*) AS found, count(*) AS expected FROM documents
               UNION ALL SELECT 'cves/en', count(*) FILTER (lang = 'en'), count(*) FROM documents
               UNION ALL SELECT 'not-yet-created', 0, count(*) FROM documents)""",
-        "arrival_progress_stream": "SELECT count(*) AS found FROM documents",
+        "arrival_progress_stream": """
+            SELECT count(*) AS found, count(*) AS expected, 100.0::DOUBLE AS percent, true AS complete FROM documents""",
+        "arrival_second_poll": """
+            SELECT 'first' AS poll, count(*) AS found, count(*) AS new, true AS opens_no_more FROM documents
+            UNION ALL SELECT 'second', count(*), 0, true FROM documents""",
         "bronze_ingest_files": _with(*kept, ENTRIES),
         "bronze_ingest_lines": _with(*kept, ENTRIES),
         "bronze_ingest_encodings": _with(

@@ -17,6 +17,7 @@ from advisory_lake.plans.medallion import Lake
 from advisory_lake.session import utc
 from advisory_lake.sources import records, snapshot, standin, tables, tree
 from advisory_lake.streaming import arrival
+from advisory_lake.streaming.ledger import Ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -141,9 +142,21 @@ def arrival_progress(feed: Feeds) -> DataFrame:
 
 @query
 def arrival_progress_stream(feed: Feeds) -> DataFrame:
+    """The stream's own progress against the expected total, files of every name among them."""
+    expected = feed.table("documents").count()
     checkpoint = feed.new_folder("arrivals")
     name = "arrivals_" + checkpoint.rpartition("-")[2]
-    return arrival.count_until_now(feed.spark, feed.document_tree, name, checkpoint)
+    counted = arrival.count_until_now(feed.spark, feed.document_tree, name, checkpoint, expected)
+    return counted.select("found", "expected", "percent", "complete")
+
+
+@query
+def arrival_second_poll(feed: Feeds) -> DataFrame:
+    """Two polls of the same tree: the second lists only folders that may have changed since."""
+    ledger = Ledger(feed.spark, feed.document_tree, feed.new_folder("ledger"))
+    first, second = ledger.poll(), ledger.poll()
+    rows = [("first", first.found, first.new, True), ("second", second.found, second.new, second.opened <= first.opened)]
+    return feed.spark.createDataFrame(rows, "poll STRING, found LONG, new LONG, opens_no_more BOOLEAN")
 
 
 # Bronze

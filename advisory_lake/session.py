@@ -121,11 +121,24 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return folder
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder and what is below it; one that is not there is no error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def remove_run_folder(spark: SparkSession, folder: str) -> None:
+    """Delete one run folder, once no frame that reads it is needed any more."""
+    owned = _run_folders.get(spark.sparkContext.applicationId, [])
+    if folder in owned:
+        owned.remove(folder)
+    delete_folder(spark, folder)
+
+
 def remove_run_folders(spark: SparkSession) -> int:
     """Delete what this application has written below run folders, once no frame that reads
     them is needed any more; gives their number."""
     folders = _run_folders.pop(spark.sparkContext.applicationId, [])
     for folder in folders:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, folder)
     return len(folders)

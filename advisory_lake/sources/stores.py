@@ -71,7 +71,7 @@ def walk(spark: SparkSession, root: str, dot_names: bool = True) -> DataFrame:
     if not exists(root):
         raise FileNotFoundError(f"no folder {root}")
     folder = run_folder(spark, "walk")
-    lister = _folder_lister(arrow_uri(root), dot_names)
+    lister = folder_lister(arrow_uri(root), dot_names)
     folders = spark.createDataFrame([("",)], "relative_path STRING")
     level = 0
     while True:
@@ -87,7 +87,8 @@ def walk(spark: SparkSession, root: str, dot_names: bool = True) -> DataFrame:
     return every.where("length is not null").drop("level")
 
 
-def _folder_lister(uri: str, dot_names: bool):
+def folder_lister(uri: str, dot_names: bool = True):
+    """For mapInArrow over folders: their entries, folders without length."""
     # A closure with its own imports: workers need no copy of this package.
     def list_folders(batches):
         import re

@@ -1,3 +1,5 @@
+import os
+import time
 from pathlib import Path
 
 import pytest
@@ -7,7 +9,8 @@ from advisory_lake.functions import paths
 from advisory_lake.operators import inventory, partitioning
 from advisory_lake.sources.tree import list_files, list_files_if_present
 from advisory_lake.session import remove_run_folders, run_folder
-from advisory_lake.streaming.arrival import count_arrivals, count_until_now, watch_arrivals
+from advisory_lake.streaming.arrival import count_arrivals, count_until_now, keep_polling, ledger_of, watch_arrivals
+from advisory_lake.streaming.ledger import ARRIVALS, Ledger, Poll
 
 
 def write(root, *names):
@@ -50,12 +53,93 @@ def test_progress_before_the_folder_exists(spark, folder):
 def test_stream_counts_in_several_batches_and_resumes(spark, folder):
     root, checkpoint = f"{folder}/tree", f"{folder}/progress"
     write(root, *(f"d{i}/f{i}.json" for i in range(5)))
-    query = count_arrivals(spark, root, "arrived", checkpoint, files_per_trigger=2)
+    ledger = ledger_of(spark, root, checkpoint)
+    assert ledger.poll() == Poll(5, 5, 6)
+    write(root, "d5/f5.json")
+    assert ledger.poll().new == 1
+    query = count_arrivals(spark, ledger, "arrived", checkpoint, 8, files_per_trigger=1)
     query.awaitTermination()
-    assert spark.table("arrived").first().found == 5
-    assert len([p for p in query.recentProgress if p.numInputRows]) == 3
+    row = spark.table("arrived").first()
+    assert (row.found, row.expected, row.percent, row.complete) == (6, 8, 75.0, False)
+    assert len([p for p in query.recentProgress if p.numInputRows]) >= 2
     write(root, "late/1.json", "late/2.json", ".hidden.part")
-    assert count_until_now(spark, root, "arrived_again", checkpoint).first().found == 7
+    row = count_until_now(spark, root, "arrived_again", checkpoint, 8).first()
+    assert (row.found, row.percent, row.complete) == (9, 112.5, True)
+
+
+def test_stream_and_listing_agree_on_every_name(spark, folder):
+    root = f"{folder}/tree"
+    write(root, "a/1.json", "a/_b/2.json", "_c/.d/3", ".e", "_f", "blank name/x y.json")
+    Path(root, "a/empty.json").touch()
+    Path(root, "no/files/here").mkdir(parents=True)
+    assert count_until_now(spark, root, "every_name", f"{folder}/c", 7).first().found == 7
+    listed = {r.relative_path for r in list_files(spark, root).collect()}
+    arrived = spark.read.parquet(ledger_of(spark, root, f"{folder}/c").arrivals)
+    assert {r.relative_path for r in arrived.collect()} == listed and len(listed) == 7
+
+
+def settle(root):
+    """Let every folder look as if it had not changed for a while."""
+    for path in [Path(root), *Path(root).rglob("*")]:
+        if path.is_dir():
+            os.utime(path, (1_700_000_000, 1_700_000_000))
+
+
+def test_polls_open_changed_folders_only(spark, folder):
+    root = f"{folder}/tree"
+    write(root, *(f"y{i}/{k}/f.json" for i in range(3) for k in range(4)))
+    settle(root)
+    ledger = Ledger(spark, root, f"{folder}/ledger")
+    assert ledger.poll() == Poll(12, 12, 16)
+    # the root has been asked for its time for the first time; nothing else is opened
+    assert ledger.poll().opened <= 1
+    assert ledger.poll() == Poll(12, 0, 0)
+    write(root, "y1/2/g.json", "y1/new/deep/h.json")
+    assert ledger.poll() == Poll(14, 2, 4)  # y1, y1/2, y1/new, y1/new/deep
+    settle(root)
+    ledger.poll()
+    Path(root, "y0/0/f.json").unlink()
+    for name in ("y2/3/f.json", "y2/3"):
+        path = Path(root, name)
+        path.unlink() if path.is_file() else path.rmdir()
+    found = ledger.poll()
+    assert (found.found, found.new) == (12, 0)
+    arrived = spark.read.parquet(ledger.arrivals)
+    assert arrived.count() == arrived.select("relative_path").distinct().count() == 14
+    assert len(ledger._polls()) == 1
+    ledger.close()
+    assert not Path(folder, "ledger").exists()
+
+
+def test_a_poll_that_failed_is_repeated(spark, folder):
+    root = f"{folder}/tree"
+    write(root, "a/1", "a/2")
+    ledger = Ledger(spark, root, f"{folder}/ledger")
+    assert Ledger(spark, f"{folder}/later", f"{folder}/other").poll() == Poll(0, 0, 0)
+    ledger.poll()
+    write(root, "a/3")
+    # what a poll leaves that dies after its arrivals were written
+    spark.createDataFrame([("a", "a/3", 3, None)], ARRIVALS).write.parquet(f"{ledger.arrivals}/poll=1")
+    spark.range(3).write.parquet(f"{ledger.folder}/polls/1/seen")
+    assert (ledger.poll().new, ledger.poll().new) == (1, 0)
+    assert spark.read.parquet(ledger.arrivals).count() == 3
+
+
+def test_polling_goes_on_until_stopped(spark, folder):
+    root = f"{folder}/tree"
+    write(root, "a/1")
+    ledger = Ledger(spark, root, f"{folder}/ledger")
+    query = keep_polling(spark, ledger, "1 second", f"{folder}/ticks")
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and ledger._last() is None:
+            time.sleep(0.5)
+        write(root, "b/2")
+        while time.time() < deadline and (not ledger._last() or ledger._found(ledger._last()) < 2):
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert ledger._found(ledger._last()) == 2
 
 
 def test_path_functions(spark):
@@ -112,6 +196,8 @@ def test_watch_ends_when_the_tree_is_complete(spark, folder):
         write(f"{folder}/tree", f"a/{len(reports)}.json", *(["_x", "b/.y"] if len(reports) == 2 else []))
     assert reports == [(0, 0.0, False), (1, 33.33, False), (4, 133.33, True)]
     assert len(list(watch_arrivals(spark, f"{folder}/none", expected=3, every=0, most=2))) == 2
+    shared = Path(session.shared_folder(spark).removeprefix("file:"), "advisory-lake")
+    assert not list(shared.glob("watch-*"))
 
 
 def test_run_folders_can_be_removed(spark):
