@@ -26,7 +26,6 @@ BANDS, ROWS = 32, 5  # a pair shares no band once in 10**8 at a similarity of 0.
 PLAIN_RANKS = 6  # ranks whose places are traced back; later ones keep the orders
 SHINGLES_AT_ONCE = 65_536
 SLICE_BYTES = 2 << 20
-FIRST_PIVOTS, MORE_PIVOTS = 256, 16
 
 _EMPTY = U64(0xFFFFFFFFFFFFFFFF)
 _LOW = U64(0xFFFFFFFF)
@@ -154,11 +153,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     A document can only be linked through shingles that some other document of a bucket has, so
     those with too many of their own leave first, and pairs that cannot reach the similarity are
-    not formed. Buckets are then searched by pivots. In every bucket one document, then ever
-    more, is compared with all others of the bucket that are not in its component yet. A bucket
-    is done when all its documents are in one component or when all outside its largest
-    component have been pivots; no pair that could join two components is left out, and a bucket
-    of copies costs one comparison each.
+    not formed. In every bucket one document, the leader, is compared with all others, so that a
+    bucket of copies costs one comparison each. Documents of buckets that still hold several
+    components then meet by their rarest shingles: two documents that are similar enough have one
+    of these in common (see ``_rare_pairs``), so that no pair that could join two components is
+    left out, and near copies whose edits differ never meet.
 
     Null, empty and blank texts have the empty set, are linked with nothing and kept. Rows
     without doc_id take part in no link, have no component_id and are kept. Rows that repeat a
@@ -185,26 +184,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     leaders = members.groupBy("band", "number").agg(F.min_by(_pivot(), F.struct(_alone(), "node")).alias("pivot"))
     links = written(_verified(_pairs(members, leaders, percent), sets, percent), "links")
     labels = connected_components(links)
-    pivots = FIRST_PIVOTS
-    while True:
-        members = written(_unsettled(members, labels, leaders if pivots == FIRST_PIVOTS else None), "unsettled")
-        waiting = members.where("waiting")
-        most = waiting.groupBy("band", "number").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        if most is None:
-            break
-        turn = Window.partitionBy("band", "number").orderBy(_alone(), "node")
-        chosen = waiting.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= pivots)
-        chosen = chosen.select("band", "number", _pivot().alias("pivot"), "component")
-        more = written(_verified(_pairs(members, chosen, percent), sets, percent), "links")
-        if not more.isEmpty():
-            links = written(links.union(more), "links")
-            labels = connected_components(links)
-        if most <= pivots:
-            break
-        done = chosen.select("band", "number", F.col("pivot.node").alias("node"), F.lit(True).alias("done"))
-        members = members.join(done, ["band", "number", "node"], "left").withColumn("open", F.expr("open and done is null"))
-        members = written(members.drop("component", "waiting", "done"), "buckets")
-        pivots *= MORE_PIVOTS
+    more = written(_verified(_rare_pairs(_unsettled(members, labels, leaders), sets, percent), sets, percent), "links")
+    if not more.isEmpty():
+        labels = connected_components(written(links.union(more), "links"))
 
     named = nodes.select("s1", "s2", "n_shingles", "node")
     named = named.join(labels, "node", "left").select(
@@ -248,10 +230,9 @@ def _linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.where(F.col("shared") * 100 >= F.col("n_shingles") * percent).drop("alone")
 
 
-def _pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
-    """Distinct (a, b), a < b, of pivots with members of their bucket: of another component, where
-    these are known, and of sizes and shares that allow a link."""
-    pivots = pivots.select(*[F.col(c).alias("pivot_component" if c == "component" else c) for c in pivots.columns])
+def _pairs(members: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
+    """Distinct (a, b), a < b, of leaders with members of their bucket whose sizes and shares
+    allow a link."""
     possible = (
         (F.col("node") != F.col("pivot.node"))
         & (F.col("n_shingles") * 100 >= F.col("pivot.n_shingles") * percent)
@@ -259,9 +240,7 @@ def _pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
         # no more can be common than either of them shares with anyone
         & (F.least("shared", "pivot.shared") * (100 + percent) >= (F.col("n_shingles") + F.col("pivot.n_shingles")) * percent)
     )
-    if "component" in members.columns:
-        possible &= F.col("component") != F.col("pivot_component")
-    pairs = members.join(pivots, ["band", "number"]).where(possible)
+    pairs = members.join(leaders, ["band", "number"]).where(possible)
     return pairs.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
 
 
@@ -274,15 +253,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").where(both * 100 >= union * percent).select("a", "b").distinct()
 
 
-def _unsettled(members: DataFrame, labels: DataFrame, leaders: DataFrame | None) -> DataFrame:
-    """Members of buckets that hold several components and documents still to compare, with
-    their component. Open are those that have not been pivots, waiting the open ones outside
-    the largest component of the bucket, which need not be compared from its own side."""
+def _unsettled(members: DataFrame, labels: DataFrame, leaders: DataFrame) -> DataFrame:
+    """(node, component) of the documents in buckets that hold several components and, outside the
+    largest of these, documents that have been compared with the leader only."""
     labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    if leaders is not None:
-        first = leaders.select("band", "number", F.col("pivot.node").alias("leader"))
-        labelled = labelled.join(first, ["band", "number"]).withColumn("open", F.col("node") != F.col("leader"))
-        labelled = labelled.drop("leader")
+    first = leaders.select("band", "number", F.col("pivot.node").alias("leader"))
+    labelled = labelled.join(first, ["band", "number"]).withColumn("open", F.col("node") != F.col("leader"))
     parts = labelled.groupBy("band", "number", "component").agg(
         F.count(F.lit(1)).alias("size"), F.count_if("open").alias("n_open")
     )
@@ -291,8 +267,39 @@ def _unsettled(members: DataFrame, labels: DataFrame, leaders: DataFrame | None)
         F.sum("n_open").alias("all_open"),
         F.max(F.struct("size", "n_open", "component")).alias("largest"),
     )
-    going = whole.where("parts > 1 and all_open > largest.n_open").select(
-        "band", "number", F.col("largest.component").alias("largest")
+    going = whole.where("parts > 1 and all_open > largest.n_open").select("band", "number")
+    return written(labelled.join(going, ["band", "number"]).select("node", "component").distinct(), "unsettled")
+
+
+def _rare_pairs(unsettled: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct (a, b), a < b, of different components, with every pair that is similar enough.
+
+    All sets are put in one order, from the rarest shingle to the most frequent. Sets of m and n
+    shingles need c common ones, percent / (100 + percent) of m + n. The first of these in the
+    order is among the first m - c + 1 shingles of the one and the first n - c + 1 of the other,
+    since c - 1 more come after it in both. So documents meet by shingles in such places only.
+    Within a shingle the members of its largest component do not look for each other.
+    """
+    own = sets.join(unsettled.select(F.col("node").alias("doc_id"), "component"), "doc_id")
+    own = own.select("doc_id", F.xxhash64("shingles").alias("variant"), F.size("shingles").alias("n"), "component", "shingles")
+    each = own.select("doc_id", "variant", "n", "component", F.explode("shingles").alias("shingle"))
+    counted = each.join(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")), "shingle")
+    order = Window.partitionBy("doc_id", "variant").orderBy("holders", "shingle")
+    placed = counted.withColumn("place", F.row_number().over(order) - 1)
+    # a partner has percent of the shingles at least
+    first = placed.where(f"holders > 1 and place <= n - (n * {percent} + 99) div 100")
+    first = written(first.select("shingle", "doc_id", "n", "component", "place"), "rare")
+
+    parts = first.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("size"))
+    largest = parts.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("size", "component")).alias("largest")
+    )
+    members = first.join(largest.where("parts > 1").drop("parts"), "shingle")
+    probes = members.where("component <> largest").select(
+        "shingle", F.col("doc_id").alias("other"), F.col("n").alias("m"), F.col("component").alias("from_component"), F.col("place").alias("at")
+    )
+    common = f"((m + n) * {percent} + {99 + percent}) div {100 + percent}"
+    pairs = probes.join(members, "shingle").where(
+        f"component <> from_component and at <= m - {common} and place <= n - {common}"
     )
-    kept = labelled.join(going, ["band", "number"])
-    return kept.withColumn("waiting", F.expr("open and component <> largest")).drop("largest")
+    return pairs.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
