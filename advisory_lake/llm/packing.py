@@ -17,7 +17,6 @@ from __future__ import annotations
 import json
 import zlib
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,12 +25,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from advisory_lake.llm.bpe import byte_letters
-from advisory_lake.llm.shared import id_and_text, slices, written
+from advisory_lake.llm.shared import id_and_text, slices, worker_cache, written
 
 SEQUENCE_TOKENS = 2048
 PIECES_PER_BUCKET = 100_000
 SLICE_BYTES = 4 << 20
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 150_000  # about 30 MB in a worker
 LONGEST_CACHED = 64
 _MARKS = ".,;:!?*&%$#|"
 
@@ -105,10 +104,12 @@ class ByteTokenizer:
         return ids
 
 
-@lru_cache(maxsize=2)
 def byte_tokenizer(path: str) -> ByteTokenizer:
     """One per worker process."""
-    return ByteTokenizer(path)
+    cache = worker_cache("packing")
+    if path not in cache:
+        cache[path] = ByteTokenizer(path)
+    return cache[path]
 
 
 def pieces_of(docs: DataFrame, path: str, limit: int = SEQUENCE_TOKENS, end: int = 0) -> DataFrame:

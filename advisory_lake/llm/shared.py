@@ -2,35 +2,26 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from advisory_lake.session import run_folder
+from advisory_lake.session import run_folder, ship_package
 
 
-_shipped: set[str] = set()
+_worker_cache: tuple[str, dict] = ("", {})
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give executors this package, once per application; they need no copy of it before."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    top = Path(__file__).resolve().parent.parent
-    handle, path = tempfile.mkstemp(prefix="advisory-lake-", suffix=".zip")
-    with os.fdopen(handle, "wb") as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
-        for source in sorted(top.rglob("*.py")):
-            archive.write(source, source.relative_to(top.parent))
-    context.addPyFile(path)
-    _shipped.add(context.applicationId)
+def worker_cache(owner: str) -> dict:
+    """What a worker process remembers for one operator from task to task. Workers outlive a
+    stage: what another operator has left is dropped."""
+    global _worker_cache
+    if _worker_cache[0] != owner:
+        _worker_cache = (owner, {})
+    return _worker_cache[1]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from advisory_lake.llm.shared import ship_package, slices
+from advisory_lake.llm.shared import ship_package, slices, worker_cache
 from advisory_lake.llm.words import as_long, words_of
 
 TRAIN_DOCS = 6_000  # labelled documents of either label that training looks at
@@ -33,7 +33,7 @@ POSITIVE_LANDMARKS, CLOSE_LANDMARKS, FREQUENT_LANDMARKS = 96, 64, 64
 LIKELY = 6.0  # times as frequent in toxic documents
 LEAST_DOCS = 5  # toxic documents that have a word
 SPAN, DISCOUNT = 5, 0.5
-CACHED_WORDS = 600_000
+CACHED_WORDS = 200_000  # about 40 MB in a worker
 LONGEST_CACHED = 40
 
 _STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
@@ -154,12 +154,12 @@ class Judge:
                 joined = self.model.decisions([_MARKS.sub("", word) for word in part])  # i.n.s.u.l.t
                 for word, value in zip(part, np.maximum(plain, joined).tolist()):
                     (self.known if len(word) <= LONGEST_CACHED else passing)[word] = value
-        known = {**self.known, **passing} if passing else self.known
+        known = (lambda word: passing[word] if word in passing else self.known[word]) if passing else self.known.__getitem__
         rows = np.zeros((len(texts), 3))
         rows[:, 0] = -1.0
         for row, some in zip(rows, words):
             if some:
-                values = np.fromiter(map(known.__getitem__, some), float, len(some))
+                values = np.fromiter(map(known, some), float, len(some))
                 toxic = np.clip(2 * values - 0.5, 0, 1).sum()
                 row[:] = np.clip(values.max(), -1, 1), np.log1p(toxic), np.log1p(200 * toxic / (len(some) + 20))
         return rows
@@ -323,7 +323,7 @@ def scorer(model: Model):
         scores, start, held = [], 0, 0
         for i, text in enumerate(texts):
             held += len(text or "")
-            if held > 4 << 20 or i + 1 == len(texts):
+            if held > 2 << 20 or i + 1 == len(texts):
                 scores.append(judge.scores(texts[start : i + 1]))
                 start, held = i + 1, 0
         return pd.Series(np.concatenate(scores) if scores else np.empty(0))
@@ -331,16 +331,14 @@ def scorer(model: Model):
     return score
 
 
-_judges: dict[bytes, Judge] = {}
-
-
 def _judge(model: Model) -> Judge:
     """One per worker process and model, so that words stay known from task to task."""
+    judges = worker_cache("toxicity")
     key = model.weights.tobytes() + model.curve.tobytes()
-    if key not in _judges:
-        _judges.clear()
-        _judges[key] = Judge(model)
-    return _judges[key]
+    if key not in judges:
+        judges.clear()
+        judges[key] = Judge(model)
+    return judges[key]
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
