@@ -6,6 +6,9 @@ empty files count as files. The driver holds no listing.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +50,13 @@ def data_files(spark: SparkSession, location: str) -> DataFrame:
     with modest_listing(spark):
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location)
     return files.select("path", "length", "modificationTime")
+
+
+def file_sizes(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One row: files and bytes of these data files; their contents are not read."""
+    total = (F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+    if not paths:
+        return spark.createDataFrame([], schemas.LISTING).agg(*total)
+    with modest_listing(spark):
+        # a path is a pattern to Spark, so what patterns are made of is escaped
+        return spark.read.format("binaryFile").load([re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(p)) for p in paths]).agg(*total)

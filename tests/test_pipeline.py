@@ -61,7 +61,7 @@ def test_table_detail(spark, lake):
     lake.write(spark.range(10).repartition(2), lake.cves)
     row = tables.table_detail(spark, lake.cves).first()
     assert (row.name, row.format, row.column_count, row.num_files, row.row_count) == ("cves", "parquet", 1, 2, 10)
-    assert row.size_in_bytes > 0 and row.location.endswith("/cves")
+    assert row.size_in_bytes > 0 and "/cves/version-" in row.location
 
 
 def test_feeds_are_shared_until_a_table_changes(spark, tmp_path):
@@ -111,3 +111,33 @@ def test_packing_a_tree_keeps_settings(spark, folder):
     before = spark.conf.get(session.OPEN_COST_KEY)
     packing.pack_tree(spark, feeds(spark, SMALL).document_tree, f"{folder}/p")
     assert spark.conf.get(session.OPEN_COST_KEY) == before
+
+
+def test_a_replace_that_fails_leaves_the_table_as_it_was(spark, lake):
+    from pyspark.sql import functions as F
+
+    lake.write(spark.range(5), lake.cves)
+    broken = spark.range(100).select(F.when(F.col("id") > 97, F.raise_error(F.lit("broken"))).otherwise("x").alias("other"))
+    with pytest.raises(Exception, match="broken"):
+        lake.write(broken, lake.cves)
+    assert spark.table(lake.cves).columns == ["id"] and spark.table(lake.cves).count() == 5
+    # from its own rows, and with nothing left of earlier versions
+    own = lake.write(spark.table(lake.cves).where("id > 1"), lake.cves)
+    assert sorted(r.id for r in own.collect()) == [2, 3, 4]
+    folder = f"{lake.folder}/{lake.cves.replace('.', '/')}"
+    assert len(tables._entries(spark, folder)) == 1
+
+
+def test_table_detail_counts_the_files_of_the_table(spark, lake):
+    from pathlib import Path
+
+    lake.write(spark.range(10).repartition(2), lake.cves)
+    folder = Path(lake.folder, lake.cves.replace(".", "/"))
+    (folder / "version-old").mkdir()
+    (folder / "version-old" / "part-0.parquet").write_bytes(b"left by a format that keeps old files")
+    row = tables.table_detail(spark, lake.cves).first()
+    current = list(Path(row.location.removeprefix("file:")).glob("*.parquet"))
+    assert (row.num_files, row.size_in_bytes) == (2, sum(p.stat().st_size for p in current))
+    lake.write(spark.range(0), lake.cves)
+    again = tables.table_detail(spark, lake.cves).first()
+    assert again.row_count == 0 and again.column_count == 1
