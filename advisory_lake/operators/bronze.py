@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from advisory_lake import schemas
 from advisory_lake.functions.scalars import instant, utc_wall_time
 from advisory_lake.sources.records import cut_files, is_taken, packed_documents, records_of
+from advisory_lake.sources.snapshot import PUBLISHED, SEVERAL_YEARS
 
 PUBLICATION_YEAR = 2024
 
@@ -36,6 +38,20 @@ def published_records(
     return kept_documents(packed_documents(snapshot, folder, suffix), year)
 
 
+def dated(snapshot: DataFrame) -> DataFrame:
+    """Packed files with the year their documents are published in: one number when they agree,
+    ``SEVERAL_YEARS`` when they do not, null for a file without a dated document."""
+    cut = cut_files(snapshot)
+    in_pieces = F.transform(
+        F.filter("pieces", lambda piece: piece["whole"]),
+        lambda piece: _published_year(F.from_json(piece["text"], f"STRUCT<{schemas.RECORD_HEADER}>")["cveMetadata"]),
+    )
+    single = F.array(_published_year(F.get("headers", 0)["cveMetadata"]))
+    years = F.array_distinct(F.array_compact(F.when(F.col("pieces").isNull(), single).otherwise(in_pieces)))
+    published = F.when(F.size(years) > 1, F.lit(SEVERAL_YEARS)).otherwise(F.get(years, 0))
+    return cut.select("relative_path", "file_content", published.alias(PUBLISHED))
+
+
 def files_summary(snapshot: DataFrame, folder: str = "", suffix: str = "") -> DataFrame:
     """How many files ingest takes, leaves out, and finds no document or several in."""
     documents = F.when(F.col("pieces").isNull(), 1).otherwise(F.size(F.filter("pieces", lambda piece: piece["whole"])))

@@ -16,7 +16,7 @@ from advisory_lake.operators.packing import unpack_snapshot, written_totals
 from advisory_lake.plans.medallion import Lake
 from advisory_lake.session import run_folder, utc
 from advisory_lake.sources import standin
-from advisory_lake.sources.snapshot import read_snapshot, write_snapshot
+from advisory_lake.sources.snapshot import read_snapshot, write_dated_snapshot, write_snapshot
 
 _feeds: dict[tuple[str, str, str], Feeds] = {}
 
@@ -74,6 +74,14 @@ class Feeds:
             files = texts.select(name.alias("relative_path"), F.encode("text", "UTF-8").alias("file_content"))
             return self._stored("mixed-packed", files)
 
+    @cached_property
+    def dated_snapshot(self) -> str:
+        """The mixed files by year of publication."""
+        path = f"{self.folder}/mixed-dated"
+        with utc(self.spark):
+            write_dated_snapshot(bronze.dated(read_snapshot(self.spark, self.mixed_snapshot)), path)
+        return path
+
     @cached_property
     def odd_snapshot(self) -> str:
         with utc(self.spark):

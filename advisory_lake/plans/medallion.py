@@ -11,7 +11,7 @@ from advisory_lake.operators import bronze, quality, silver
 from advisory_lake.operators.partitioning import even_partitions
 from advisory_lake.session import utc
 from advisory_lake.sources import tables
-from advisory_lake.sources.snapshot import read_snapshot
+from advisory_lake.sources.snapshot import read_snapshot_of
 from advisory_lake.sources.records import read_counts, taken, tree_documents
 from advisory_lake.sources.stores import walk
 
@@ -53,8 +53,10 @@ class Lake:
         self, path: str, year: int = bronze.PUBLICATION_YEAR, folder: str = "", suffix: str = ""
     ) -> DataFrame:
         """Bronze straight from a packed snapshot, the way to take for large trees; from all
-        its files, or from those in a folder or with a suffix."""
-        return self._write_bronze(bronze.published_records(read_snapshot(self.spark, path), year, folder, suffix))
+        its files, or from those in a folder or with a suffix. Of a snapshot dated by
+        ``bronze.dated`` only the wanted year is read."""
+        files = read_snapshot_of(self.spark, path, year)
+        return self._write_bronze(bronze.published_records(files, year, folder, suffix))
 
     def ingest_tree(
         self, root: str, year: int = bronze.PUBLICATION_YEAR, folder: str = "", suffix: str = ""

@@ -119,6 +119,12 @@ def _with(*parts: str) -> str:
 
 def all_sql() -> dict[str, str]:
     kept, cves, affected = (KEPT,), (KEPT, CVES), (KEPT, AFFECTED)
+    mixed = _with(
+        *kept,
+        f"""SELECT e.* FROM ({ENTRIES} WHERE o_orderstatus <> 'O' OR o_orderpriority <> '2-HIGH') e
+            UNION ALL SELECT e.* FROM ({ENTRIES}
+              WHERE o_orderstatus <> 'O' OR o_orderpriority NOT IN ('1-URGENT', '2-HIGH')) e""",
+    )
     return {
         "snapshot_pack": _with(FILES, "SELECT clean_path AS relative_path, size_bytes FROM files"),
         "snapshot_preview": _with(
@@ -170,12 +176,8 @@ def all_sql() -> dict[str, str]:
             f"""SELECT e.* FROM ({ENTRIES}) e
                 UNION ALL SELECT e.* FROM ({ENTRIES} WHERE o_orderstatus = 'O') e""",
         ),
-        "bronze_ingest_mixed": _with(
-            *kept,
-            f"""SELECT e.* FROM ({ENTRIES} WHERE o_orderstatus <> 'O' OR o_orderpriority <> '2-HIGH') e
-                UNION ALL SELECT e.* FROM ({ENTRIES}
-                  WHERE o_orderstatus <> 'O' OR o_orderpriority NOT IN ('1-URGENT', '2-HIGH')) e""",
-        ),
+        "bronze_ingest_mixed": mixed,
+        "bronze_ingest_dated": mixed,
         "bronze_rejects": """
             WITH pieces AS (
               SELECT *, CASE

@@ -184,6 +184,13 @@ def bronze_ingest_mixed(feed: Feeds) -> DataFrame:
     return _entries(bronze.kept_documents(documents, YEAR))
 
 
+@query
+def bronze_ingest_dated(feed: Feeds) -> DataFrame:
+    """The same documents from a snapshot dated by their years, of which one is read."""
+    packed = snapshot.read_snapshot_of(feed.spark, feed.dated_snapshot, YEAR)
+    return _entries(bronze.published_records(packed, YEAR))
+
+
 @query
 def bronze_rejects(feed: Feeds) -> DataFrame:
     """Every rejected piece of the same documents, packed in small files, with file and place."""

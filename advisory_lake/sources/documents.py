@@ -142,12 +142,12 @@ def _pieces(texts):
 
 
 def cut_texts(files: DataFrame, text: Column, header: str) -> DataFrame:
-    """relative_path, text, headers and pieces of decoded files. A text that parses as one record
+    """The files with text, headers and pieces of each, decoded. A text that parses as one record
     is a document as it stands and never leaves the JVM; ``headers`` holds what ``header``, a part
     of the record's schema, finds there. Only the others have ``pieces``."""
     ship_package(files.sparkSession)
     as_array = F.from_json(F.concat(F.lit("["), F.col("text"), F.lit("]")), f"ARRAY<STRUCT<{header}>>")
-    parsed = files.select("relative_path", text.alias("text")).withColumn("headers", as_array)
+    parsed = files.withColumn("text", text).withColumn("headers", as_array)
     single = F.coalesce(F.size("headers") == 1, F.lit(False)) & F.ltrim(F.col("text")).startswith("{")
     return parsed.withColumn("pieces", _pieces(F.when(~single, F.coalesce("text", F.lit("")))))
 

@@ -16,7 +16,10 @@ WITH_PYTHON = {
     "snapshot_unpack", "snapshot_content_verify", "snapshot_sample_verify", "bronze_ingest_files", "bronze_ingest_mixed"
 }
 # texts of packed files that are not one record each are cut by Arrow batches, the others stay
-CUT_TEXTS = {"bronze_records", "bronze_reject_summary", "bronze_ingest_encodings", "bronze_files_summary", "bronze_rejects"}
+CUT_TEXTS = {
+    "bronze_records", "bronze_reject_summary", "bronze_ingest_encodings", "bronze_files_summary", "bronze_rejects",
+    "bronze_ingest_dated",
+}
 
 
 def plan(spark, key):
@@ -74,6 +77,50 @@ def test_bronze_needs_no_shuffle_and_parses_shallowly_first(spark):
     assert filters and not any("containers" in line for line in filters)
 
 
+def test_only_the_wanted_year_of_a_dated_snapshot_is_read(spark, tmp_path):
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from advisory_lake.sources.snapshot import read_snapshot_of, write_dated_snapshot
+
+    packed = read_snapshot(spark, feeds(spark, SMALL).mixed_snapshot)
+    write_dated_snapshot(bronze.dated(packed), str(tmp_path))
+    assert read_snapshot(spark, str(tmp_path)).count() == packed.count()
+    assert sorted(read_snapshot(spark, str(tmp_path)).collect()) == sorted(packed.collect())
+    of_year = read_snapshot_of(spark, str(tmp_path), 1998)
+    assert "PartitionFilters: [published" in plan_of(of_year) and "IN (1998,0)" in plan_of(of_year)
+    folders = {r[0] for r in of_year.select(F.regexp_extract("_metadata.file_path", "published=([^/]*)", 1)).distinct().collect()}
+    assert folders <= {"1998", "0"} and "1998" in folders
+
+    want = sorted(map(str, bronze.published_records(packed, 1998).collect()))
+    for folder in Path(tmp_path).glob("published=*"):
+        if folder.name not in ("published=1998", "published=0"):
+            for file in folder.glob("*.parquet"):
+                file.write_bytes(b"no other year is opened")
+    assert sorted(map(str, bronze.published_records(read_snapshot_of(spark, str(tmp_path), 1998), 1998).collect())) == want != []
+
+
+def test_files_of_several_years_are_found_in_each(spark, tmp_path):
+    import json
+
+    from advisory_lake.sources.snapshot import read_snapshot_of, write_dated_snapshot
+
+    def text(*dates):
+        records = [{"cveMetadata": {"cveId": d, "datePublished": d}} for d in dates]
+        return "\n".join(map(json.dumps, records)).encode()
+
+    rows = [("a", text("2023-01-01", "2024-01-01")), ("b", text("2024-01-01")), ("c", text("2023-05-05")), ("d", b""), ("e", b"junk"),
+            ("f", text("2023-02-02", "2023-03-03")), ("g", text("soon"))]
+    files = spark.createDataFrame(rows, "relative_path STRING, file_content BINARY")
+    found = {r.relative_path: r.published for r in bronze.dated(files).collect()}
+    assert found == {"a": 0, "b": 2024, "c": 2023, "d": None, "e": None, "f": 2023, "g": None}
+    write_dated_snapshot(bronze.dated(files), str(tmp_path))
+    for year, want in ((2023, ["2023-01-01", "2023-02-02", "2023-03-03", "2023-05-05"]), (2024, ["2024-01-01"] * 2), (1999, [])):
+        kept = bronze.published_records(read_snapshot_of(spark, str(tmp_path), year), year)
+        assert sorted(r[0] for r in kept.select("cveMetadata.cveId").collect()) == want
+
+
 def test_merging_has_no_exchange(spark):
     df = spark.range(100)
     assert "Exchange" not in plan_of(partitioning.merge_partitions(df, 4))
