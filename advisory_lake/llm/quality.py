@@ -1,86 +1,141 @@
 """Quality rules: plain text measures, and the perplexity of an n-gram language model.
 
-The model is a modified Kneser-Ney model of letters for each language. Spark counts the
-n-grams of all documents and derives discounts, context sums and probabilities with grouped
-sums and joins; no count is pruned. Each language's model is then stored in the shared folder
-as sorted arrays of n-gram hashes with their logarithms, at most 2**22 of each kind, and tasks
-load those of the languages they meet. A document is rejected when its perplexity is outside
-the band of its language, which the perplexities of all its documents set.
+The model is a modified Kneser-Ney model of runs of five letters for each language. Spark counts
+the runs of all documents and derives discounts, context sums and probabilities with grouped sums
+and joins; letters are whole code points, no count is pruned, and the model grows with the corpus.
+It is stored as sorted arrays of 64-bit hashes with their logarithms, cut by hash into shards of
+about 2**18. Texts never carry the model about: each group of files asks once for every run it
+has, the questions stream past the shards in order, and the answers are filed by group. A document
+is rejected when its perplexity is outside the band of its language, which the perplexities of all
+its documents set.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
+import hashlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from advisory_lake.llm.shared import ship_package, slices, written
-from advisory_lake.llm.words import mixed, words_of
+from advisory_lake.llm.shared import ship_package, slices, worker_cache, written
+from advisory_lake.llm.words import as_long, mixed, words_of
 from advisory_lake.session import run_folder
 from advisory_lake.sources.stores import arrow_uri
 
-ORDER = 3
-BITS = 12  # of a letter: code points below 768 as they are, others folded into the rest
-PLAIN_LETTERS = 768
-HASH_BITS = 22
+ORDER = 5
+SHARD_ROWS = 1 << 18  # runs of a shard of the model, about
+GROUP_DOCS = 1 << 16  # documents of a group of files, about
+HELD_RUNS = 1_000_000  # distinct runs a counting task holds before it hands them on
+GROUPS_AT_ONCE = 2  # groups whose answers a worker keeps
+SALTS = 8
 BAND, SHORT_TEXT = 7.0, 300.0  # median deviations from the median, more for short texts
 LEAST_DEVIATION = 0.005
 LEAST_WORDS, REPEAT_WORDS, MOST_REPEATED = 20, 8, 30
-MODELS_AT_ONCE = 6
-SLICE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 SYMBOLS = "#*$%&|<>"
 _BLANKS = " \t\n\v\f\r"
-_LETTER = (1 << BITS) - 1
 
 
 # ---------------------------------------------------------------- letters
 
 
-def grams_of(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends at every letter, packed in a number, and how many each text has.
-    Texts begin after ``order`` - 1 line feeds."""
+def runs_of(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct runs of ``order`` letters as rows of code points, how often each occurs, for
+    every letter the row of the run that ends there, and the letters of each text. Texts begin
+    after ``order`` - 1 line feeds."""
     lead = "\n" * (order - 1)
     codes = np.frombuffer("".join([lead + text for text in texts]).encode("utf-32-le"), np.uint32)
-    letters = np.where(codes < PLAIN_LETTERS, codes, PLAIN_LETTERS + codes % (_LETTER + 1 - PLAIN_LETTERS)).astype(np.int64)
     sizes = np.array([len(text) for text in texts], np.int64)
-    grams = np.zeros(max(len(letters) - order + 1, 0), np.int64)
-    for k in range(order):
-        grams = grams << BITS | letters[k : k + len(grams)]
-    # runs that cross into the next text are left out
-    starts = np.cumsum(sizes + order - 1) - (sizes + order - 1)
-    inside = np.zeros(len(grams) + order, np.int64)
-    np.add.at(inside, starts, 1)
-    np.add.at(inside, np.minimum(starts + sizes, len(inside) - 1), -1)
-    return grams[np.cumsum(inside[: len(grams)]) > 0], sizes
+    firsts = np.cumsum(sizes + order - 1) - (sizes + order - 1)
+    places = np.repeat(firsts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    if not len(places):
+        return np.empty((0, order), np.uint32), np.empty(0, np.int64), places, sizes
+    known, letters = np.unique(codes, return_inverse=True)
+    letters, width = letters.astype(np.int64), len(known)
+    numbers, values = letters[places], width
+    for k in range(1, order):
+        if values > (1 << 62) // width:  # ranks in place of numbers that would grow too long
+            known, numbers = np.unique(numbers, return_inverse=True)
+            values = len(known)
+        numbers, values = numbers * width + letters[places + k], values * width
+    _, some, own, n = np.unique(numbers, return_index=True, return_inverse=True, return_counts=True)
+    return codes[places[some][:, None] + np.arange(order)], n, own, sizes
+
+
+def hashed(runs: np.ndarray, language: str) -> np.ndarray:
+    """64-bit hashes of rows of code points, other ones for each language."""
+    seed = int.from_bytes(hashlib.blake2b(language.encode(), digest_size=8).digest(), "little")
+    found = np.full(len(runs), seed, np.uint64)
+    for k in range(runs.shape[1]):
+        found = mixed(found ^ runs[:, k].astype(np.uint64), 100 + k)
+    return found
+
+
+def _strings(runs: np.ndarray) -> list[str]:
+    whole, order = runs.astype("<u4").tobytes().decode("utf-32-le"), runs.shape[1]
+    return [whole[i : i + order] for i in range(0, len(whole), order)]
 
 
 def _language() -> Column:
     return F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")
 
 
-def _columns(docs: DataFrame) -> DataFrame:
+def grouped(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, lang, piece): every document belongs to the group
+    of its file, whatever the splits of a scan are. Rows that come from no file are written first."""
     ship_package(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), _language())
-
-
-def gram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """(lang, gram, n) over all documents; tasks add up their own first."""
+    file = F.input_file_name()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), _language())
+    n, homeless = docs.select(file.alias("file")).agg(F.count(F.lit(1)), F.count_if(F.col("file") == "")).first()
+    if homeless:
+        rows = written(rows, "texts")
+    groups = max(1, -(-n // GROUP_DOCS))
+    return rows.withColumn("piece", F.pmod(F.xxhash64(file), F.lit(groups)))
+
+
+def _pieces(batches):
+    """Small parts of the batches, their texts, and the rows of each group and language."""
+    for batch in batches:
+        for part in slices(batch, "text", PIECE_BYTES):
+            texts = part.column(1).to_pylist()
+            own: dict[tuple[int, str], list[int]] = {}
+            for i, key in enumerate(zip(part.column(3).to_pylist(), part.column(2).to_pylist())):
+                own.setdefault(key, []).append(i)
+            yield part, texts, own
+
+
+def run_counts(rows: DataFrame, order: int = ORDER) -> DataFrame:
+    """(piece, lang, gram, hash, n): the runs of each group, each once or a few times."""
+
+    def counted(batches):
+        held: dict[tuple[int, str], dict[str, int]] = {}
+
+        def handed_on():
+            for (group, language), counts in held.items():
+                grams = list(counts)
+                runs = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(-1, order)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(grams), group, np.int64)), pa.array([language] * len(grams), pa.string()), pa.array(grams, pa.string()),
+                        pa.array(as_long(hashed(runs, language))), pa.array(list(counts.values()), pa.int64()),
+                    ],
+                    names=["piece", "lang", "gram", "hash", "n"],
+                )
+            held.clear()
 
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                texts, languages = part.column(1).to_pylist(), np.array(part.column(2).to_pylist(), object)
-                for language in sorted(set(languages)):
-                    grams, n = np.unique(grams_of([texts[i] for i in np.flatnonzero(languages == language)], order)[0], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([language] * len(grams), pa.string()), pa.array(grams), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"]
-                    )
+        for _, texts, own in _pieces(batches):
+            for key, at in own.items():
+                runs, n, _, _ = runs_of([texts[i] for i in at], order)
+                counts = held.setdefault(key, {})
+                for gram, often in zip(_strings(runs), n.tolist()):
+                    counts[gram] = counts.get(gram, 0) + often
+            if sum(map(len, held.values())) > HELD_RUNS:
+                yield from handed_on()
+        yield from handed_on()
 
-    found = _columns(docs).mapInArrow(run, "lang STRING, gram LONG, n LONG")
-    return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return rows.select("doc_id", "text", "lang", "piece").mapInArrow(counted, "piece LONG, lang STRING, gram STRING, hash LONG, n LONG")
 
 
 # ---------------------------------------------------------------- modified Kneser-Ney
@@ -102,121 +157,118 @@ def _discounts(counts: DataFrame) -> DataFrame:
     return of.select("lang", "d1", "d2", "d3")
 
 
-def _level(counts: DataFrame, lower: tuple[DataFrame, int] | None) -> tuple[DataFrame, DataFrame]:
-    """(lang, gram, p) and (lang, context, gamma) of one order, given (lang, gram, p) of the order
-    below and the mask of its runs."""
+def _level(counts: DataFrame, lower: DataFrame | None) -> DataFrame:
+    """(lang, gram, p) of one order, given that of the order below."""
     discount = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     cut = counts.join(_discounts(counts), "lang").withColumn("d", discount)
-    cut = cut.withColumn("context", F.shiftright("gram", BITS))
+    cut = cut.withColumn("context", F.expr("substring(gram, 1, length(gram) - 1)"))
     contexts = cut.groupBy("lang", "context").agg(F.sum("n").cast("double").alias("total"), F.sum("d").alias("taken"))
     contexts = contexts.withColumn("gamma", F.col("taken") / F.col("total"))
     own = cut.join(contexts, ["lang", "context"])
     if lower is None:  # the order below the lowest: all letters alike, and one for unknown ones
         letters = counts.groupBy("lang").agg((1 / (F.count(F.lit(1)) + 1)).alias("below"))
         own = own.join(letters, "lang")
-        contexts = contexts.join(letters, "lang").withColumn("gamma", F.col("gamma") * F.col("below"))
     else:
-        shorter, mask = lower
-        own = own.withColumn("suffix", F.col("gram").bitwiseAND(F.lit(mask)))
-        own = own.join(shorter.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("below")), ["lang", "suffix"])
+        own = own.withColumn("suffix", F.substring("gram", 2, ORDER))
+        own = own.join(lower.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("below")), ["lang", "suffix"])
     p = (F.col("n") - F.col("d")) / F.col("total") + F.col("gamma") * F.col("below")
-    return own.select("lang", "gram", p.alias("p")), contexts.select("lang", "context", "gamma")
+    return own.select("lang", "gram", p.alias("p"))
 
 
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(lang, kind, gram, value): natural logarithms of probabilities (kind 2k for order k) and
-    of what a context leaves to the order below (kind 2k + 1)."""
+    """(lang, gram, p) of all counted runs of the highest order. Shorter runs count by the number
+    of letters before them."""
     by_order = {order: counts}
-    for k in range(order - 1, 0, -1):  # below the highest: in how many contexts a run occurs
-        mask = (1 << BITS * k) - 1
-        shorter = by_order[k + 1].select("lang", F.col("gram").bitwiseAND(F.lit(mask)).alias("gram"))
+    for k in range(order - 1, 0, -1):
+        shorter = by_order[k + 1].select("lang", F.substring("gram", 2, order).alias("gram"))
         by_order[k] = written(shorter.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")), "grams")
-    rows, lower = None, None
+    lower = None
     for k in range(1, order + 1):
-        p, gamma = _level(by_order[k], lower)
-        p = written(p, "probabilities")
-        lower = (p, (1 << BITS * k) - 1)
-        both = p.select("lang", F.lit(2 * k).alias("kind"), "gram", F.log("p").alias("value")).union(
-            gamma.select("lang", F.lit(2 * k + 1), "context", F.log(F.greatest("gamma", F.lit(1e-300))))
-        )
-        rows = both if rows is None else rows.union(both)
-    return rows
-
-
-def hashed(grams: np.ndarray) -> np.ndarray:
-    return (mixed(grams.astype(np.uint64), 5) >> np.uint64(64 - HASH_BITS)).astype(np.uint32)
+        lower = written(_level(by_order[k], lower), "probabilities")
+    return lower
 
 
-def store(model: DataFrame) -> str:
-    """Write each language's model as sorted hashes and their values; returns the folder. Runs
-    with one hash share their largest value, so a kind never has more than 2**22."""
+def store(model: DataFrame, order: int = ORDER) -> tuple[str, int]:
+    """Write the model as sorted hashes with the logarithms of their probabilities, a folder for
+    each shard; returns the folder and how many leading bits of a hash name its shard."""
+    bits = max(0, (model.count() - 1) // SHARD_ROWS).bit_length()
 
     def cells(batches):
         for batch in batches:
-            names = ["lang", "kind", "hash", "value"]
+            languages, grams = np.array(batch.column(0).to_pylist(), object), batch.column(1).to_pylist()
+            runs = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(-1, order)
+            found = np.zeros(len(grams), np.uint64)
+            for language in sorted(set(languages)):
+                own = languages == language
+                found[own] = hashed(runs[own], language)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(hashed(batch.column(2).to_numpy()).astype(np.int32)), batch.column(3)], names=names
+                [pa.array(as_long(found)), pa.array(np.log(batch.column(2).to_numpy()).astype(np.float32))], names=["hash", "value"]
             )
 
-    path = run_folder(model.sparkSession, "language-models")
-    found = model.mapInArrow(cells, "lang STRING, kind INT, hash INT, value DOUBLE")
-    found = found.groupBy("lang", "kind", "hash").agg(F.max("value").cast("float").alias("value"))
-    keyed = found.withColumn("key", F.hex(F.xxhash64("lang"))).drop("lang")
-    keyed.repartition("key").sortWithinPartitions("key", "kind", "hash").write.partitionBy("key").parquet(path)
-    return path
+    path = run_folder(model.sparkSession, "language-model")
+    rows = model.select("lang", "gram", "p").mapInArrow(cells, "hash LONG, value FLOAT").withColumn("shard", shard_of("hash", bits))
+    rows.repartition("shard").sortWithinPartitions("shard", "hash").write.partitionBy("shard").parquet(path)
+    return path, bits
 
 
-class LanguageModel:
-    """Sorted hash arrays of one language."""
+def shard_of(column: str, bits: int) -> Column:
+    return F.shiftrightunsigned(F.col(column), 64 - bits) if bits else F.lit(0).cast("long")
 
-    def __init__(self, kinds: dict[int, tuple[np.ndarray, np.ndarray]], order: int):
-        self.kinds, self.order = kinds, order
 
-    @classmethod
-    def load(cls, uri: str, key: str, order: int) -> LanguageModel:
-        import pyarrow.parquet as pq
-        from pyarrow import fs
+def _read(folder: str, key: str, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes in order and their values."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(uri)
-        table = pq.read_table(f"{base}/key={key}", filesystem=store, partitioning=None)
-        kind, cell, value = (table.column(name).to_numpy() for name in ("kind", "hash", "value"))
-        by = np.lexsort((cell, kind))
-        kind, cell, value = kind[by], cell[by].astype(np.uint32), value[by]
-        cuts = np.searchsorted(kind, np.arange(2, 2 * order + 3))
-        return cls({k: (cell[a:b], value[a:b]) for k, a, b in zip(range(2, 2 * order + 2), cuts[:-1], cuts[1:])}, order)
+    store, base = fs.FileSystem.from_uri(folder)
+    table = pq.read_table(f"{base}/{key}={number}", columns=["hash", "value"], filesystem=store, partitioning=None)
+    cells, values = table.column("hash").to_numpy(), table.column("value").to_numpy()
+    by = np.argsort(cells, kind="stable")
+    return cells[by], values[by]
 
-    def _find(self, kind: int, grams: np.ndarray, missing: float) -> np.ndarray:
-        cells, values = self.kinds[kind]
-        if not len(cells):
-            return np.full(len(grams), missing)
-        wanted = hashed(grams)
-        at = np.minimum(np.searchsorted(cells, wanted), len(cells) - 1)
-        return np.where(cells[at] == wanted, values[at], missing)
 
-    def log_probabilities(self, grams: np.ndarray, order: int | None = None) -> np.ndarray:
-        """Of each n-gram's last letter; runs that were never seen fall back to shorter ones."""
-        order = order or self.order
-        found = self._find(2 * order, grams, np.nan)
-        lost = np.flatnonzero(np.isnan(found))
-        if len(lost):
-            rest = self._find(2 * order + 1, grams[lost] >> BITS, 0.0)
-            if order > 1:
-                rest = rest + self.log_probabilities(grams[lost] & ((1 << BITS * (order - 1)) - 1), order - 1)
-            found[lost] = rest
-        return found
+def _found(cells: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    at = np.minimum(np.searchsorted(cells, wanted), len(cells) - 1)
+    if not (cells[at] == wanted).all():
+        raise LookupError("a run of the corpus is not in what was counted; the input has changed")
+    return values[at]
 
 
-_loaded: OrderedDict[tuple[str, str], LanguageModel] = OrderedDict()
+def answered(counts: DataFrame, models: str, bits: int) -> str:
+    """Write the logarithm of every run of every group, a folder for each group."""
+    uri = arrow_uri(models)
 
+    def run(batches):
+        for batch in batches:
+            shard, piece, cell = (batch.column(i).to_numpy() for i in range(3))
+            new = np.ones(len(cell), bool)  # several tasks may have asked for a group
+            new[1:] = (cell[1:] != cell[:-1]) | (piece[1:] != piece[:-1])
+            shard, piece, cell = shard[new], piece[new], cell[new]
+            values = np.zeros(len(cell), np.float32)
+            for number in np.unique(shard).tolist():
+                kept = worker_cache("quality-shards")
+                if number not in kept:
+                    kept.clear()
+                    kept[number] = _read(uri, "shard", number)
+                own = shard == number
+                values[own] = _found(*kept[number], cell[own])
+            yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(cell), pa.array(values)], names=["piece", "hash", "value"])
+
+    path = run_folder(counts.sparkSession, "answers")
+    asked = counts.select(shard_of("hash", bits).alias("shard"), "piece", "hash")
+    asked = asked.repartition("shard", F.pmod("piece", F.lit(SALTS))).sortWithinPartitions("shard", "piece", "hash")
+    found = asked.mapInArrow(run, "piece LONG, hash LONG, value FLOAT")
+    found.repartition("piece", F.pmod("hash", F.lit(SALTS))).sortWithinPartitions("piece", "hash").write.partitionBy("piece").parquet(path)
+    return path
 
-def _model(uri: str, key: str, order: int) -> LanguageModel:
-    """Those used last stay in the worker process."""
-    if (uri, key) not in _loaded:
-        _loaded[uri, key] = LanguageModel.load(uri, key, order)
-        while len(_loaded) > MODELS_AT_ONCE:
-            _loaded.popitem(last=False)
-    _loaded.move_to_end((uri, key))
-    return _loaded[uri, key]
+
+def _answers(uri: str, group: int) -> tuple[np.ndarray, np.ndarray]:
+    kept = worker_cache(f"quality {uri}")
+    if group not in kept:
+        while len(kept) >= GROUPS_AT_ONCE:
+            del kept[next(iter(kept))]
+        kept[group] = _read(uri, "piece", group)
+    return kept[group]
 
 
 # ---------------------------------------------------------------- measures and verdict
@@ -251,31 +303,28 @@ def _measures(texts: pa.Array) -> list[list[int]]:
     return rows
 
 
-def measured(docs: DataFrame, models: str, order: int = ORDER) -> DataFrame:
+def measured(rows: DataFrame, answers: str, order: int = ORDER) -> DataFrame:
     """The measures of every document and the mean surprise of its letters, in nats."""
-    uri = arrow_uri(models)
+    uri = arrow_uri(answers)
     names = ["doc_id", "lang", "n_chars", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "surprise"]
 
     def run(batches):
-        for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                texts, keys = part.column(1).to_pylist(), np.array(part.column(3).to_pylist(), object)
-                surprise = np.zeros(len(texts))
-                for key in sorted(set(keys)):
-                    own = np.flatnonzero(keys == key)
-                    grams, sizes = grams_of([texts[i] for i in own], order)
-                    if len(grams):
-                        sums = np.concatenate([[0.0], np.cumsum(_model(uri, key, order).log_probabilities(grams))])
-                        ends = np.cumsum(sizes)
-                        surprise[own] = -(sums[ends] - sums[ends - sizes]) / np.maximum(sizes, 1)
-                rows = np.array(_measures(part.column(1)), np.int64).reshape(-1, 5)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array([len(t) for t in texts], pa.int64()), *(pa.array(c) for c in rows.T), pa.array(surprise)],
-                    names=names,
-                )
+        for part, texts, own in _pieces(batches):
+            surprise = np.zeros(len(texts))
+            for (group, language), at in own.items():
+                runs, _, letters, sizes = runs_of([texts[i] for i in at], order)
+                if len(runs):
+                    values = _found(*_answers(uri, group), as_long(hashed(runs, language))).astype(np.float64)
+                    sums = np.concatenate([[0.0], np.cumsum(values[letters])])
+                    ends = np.cumsum(sizes)
+                    surprise[at] = -(sums[ends] - sums[ends - sizes]) / np.maximum(sizes, 1)
+            plain = np.array(_measures(part.column(1)), np.int64).reshape(-1, 5)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(2), pa.array([len(t) for t in texts], pa.int64()), *(pa.array(c) for c in plain.T), pa.array(surprise)],
+                names=names,
+            )
 
-    keyed = _columns(docs).withColumn("key", F.hex(F.xxhash64("lang")))
-    return keyed.select("doc_id", "text", "lang", "key").mapInArrow(
+    return rows.select("doc_id", "text", "lang", "piece").mapInArrow(
         run,
         "doc_id LONG, lang STRING, n_chars LONG, n_words LONG, word_chars LONG, n_symbols LONG, n_dup_lines LONG, "
         "n_repeat_words LONG, surprise DOUBLE",
@@ -300,9 +349,12 @@ def judged(docs: DataFrame, band: float = BAND) -> DataFrame:
     languages are one language. A language without a passing document rejects nothing more.
     Every row gives a row; columns other than doc_id, text and lang do not matter.
     """
-    models = store(kneser_ney(written(gram_counts(docs), "grams")))
+    texts = grouped(docs)
+    counts = written(run_counts(texts), "runs")
+    model = kneser_ney(written(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams"))
+    answers = answered(counts, *store(model))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    rows = written(measured(docs, models).withColumn("base_failed", failed), "measures")
+    rows = written(measured(texts, answers).withColumn("base_failed", failed), "measures")
     found = rows.join(bands(rows), "lang", "left")
     width = band * F.greatest("deviation", F.lit(LEAST_DEVIATION)) * F.sqrt(1 + SHORT_TEXT / F.greatest("n_chars", F.lit(1)))
     lower, upper = F.exp(F.col("middle") - width), F.exp(F.col("middle") + width)

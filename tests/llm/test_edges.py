@@ -326,12 +326,13 @@ def test_perplexity_is_that_of_plain_kneser_ney(spark):
 
     texts = ["abra cadabra " * 3, "a bad cab", "brave new abracadabra", "dada", "zz", "b" * 40]
     docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id LONG, text STRING, lang STRING")
-    runs = [[10, 10, *map(ord, t)] for t in texts]
-    counts = {3: Counter(tuple(s[i : i + 3]) for s in runs for i in range(len(s) - 2))}
-    for k in (2, 1):
+    order = quality.ORDER
+    runs = [[10] * (order - 1) + [*map(ord, t)] for t in texts]
+    counts = {order: Counter(tuple(s[i : i + order]) for s in runs for i in range(len(s) - order + 1))}
+    for k in range(order - 1, 0, -1):
         counts[k] = Counter(g[1:] for g in counts[k + 1])
     below = {}
-    for k in (1, 2, 3):
+    for k in range(1, order + 1):
         n = Counter(counts[k].values())
         y = n[1] / (n[1] + 2 * n[2]) if n[1] + 2 * n[2] else 0
         cut = {j: min(max(j - (j + 1) * y * n[j + 1] / n[j], 0), j) if n[j] else 0.5 for j in (1, 2, 3)}
@@ -343,7 +344,7 @@ def test_perplexity_is_that_of_plain_kneser_ney(spark):
             g: (c - cut[min(c, 3)] + taken[g[:-1]] * (1 / (len(counts[1]) + 1) if k == 1 else below[g[1:]])) / total[g[:-1]]
             for g, c in counts[k].items()
         }
-    want = {i: math.exp(-sum(math.log(below[tuple(s[j : j + 3])]) for j in range(len(s) - 2)) / (len(s) - 2)) for i, s in enumerate(runs)}
+    want = {i: math.exp(-sum(math.log(below[tuple(s[j : j + order])]) for j in range(len(t))) / len(t)) for i, (s, t) in enumerate(zip(runs, texts))}
     for r in quality.judged(docs).collect():
         assert r.perplexity == pytest.approx(want[r.doc_id], rel=1e-4)
 
