@@ -52,16 +52,26 @@ def runs_of(texts: list[str], order: int = ORDER) -> tuple[np.ndarray, np.ndarra
     places = np.repeat(firsts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
     if not len(places):
         return np.empty((0, order), np.uint32), np.empty(0, np.int64), places, sizes
-    known, letters = np.unique(codes, return_inverse=True)
-    letters, width = letters.astype(np.int64), len(known)
-    numbers, values = letters[places], width
+    # letters become their ranks in the piece, and runs numbers to that base
+    rank = np.zeros(int(codes.max()) + 1, np.int64)
+    rank[codes] = 1
+    width = int(rank.sum())
+    rank = np.cumsum(rank) - 1
+    letters, values = rank[codes], width
+    numbers = letters[places]
     for k in range(1, order):
         if values > (1 << 62) // width:  # ranks in place of numbers that would grow too long
             known, numbers = np.unique(numbers, return_inverse=True)
             values = len(known)
         numbers, values = numbers * width + letters[places + k], values * width
-    _, some, own, n = np.unique(numbers, return_index=True, return_inverse=True, return_counts=True)
-    return codes[places[some][:, None] + np.arange(order)], n, own, sizes
+    by = np.argsort(numbers)
+    ordered = numbers[by]
+    new = np.ones(len(by), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    starts = np.flatnonzero(new)
+    own = np.empty(len(by), np.int64)
+    own[by] = np.cumsum(new) - 1
+    return codes[places[by[starts]][:, None] + np.arange(order)], np.diff(np.append(starts, len(by))), own, sizes
 
 
 def hashed(runs: np.ndarray, language: str) -> np.ndarray:
@@ -106,34 +116,45 @@ def _pieces(batches):
             yield part, texts, own
 
 
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Hashes, runs and counts of several pieces as those of one."""
+    hashes, runs, n = (np.concatenate(column) for column in zip(*parts))
+    by = np.argsort(hashes)
+    hashes = hashes[by]
+    starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(by) else by
+    return hashes[starts], runs[by[starts]], np.add.reduceat(n[by], starts) if len(by) else n
+
+
+def _rows(held: dict[tuple[int, str], list[tuple[np.ndarray, ...]]]):
+    for (group, language), parts in held.items():
+        hashes, runs, n = _summed(parts)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(n), group, np.int64)), pa.array([language] * len(n), pa.string()), pa.array(_strings(runs), pa.string()),
+                pa.array(as_long(hashes)), pa.array(n.astype(np.int64)),
+            ],
+            names=["piece", "lang", "gram", "hash", "n"],
+        )
+
+
 def run_counts(rows: DataFrame, order: int = ORDER) -> DataFrame:
     """(piece, lang, gram, hash, n): the runs of each group, each once or a few times."""
 
     def counted(batches):
-        held: dict[tuple[int, str], dict[str, int]] = {}
-
-        def handed_on():
-            for (group, language), counts in held.items():
-                grams = list(counts)
-                runs = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(-1, order)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(grams), group, np.int64)), pa.array([language] * len(grams), pa.string()), pa.array(grams, pa.string()),
-                        pa.array(as_long(hashed(runs, language))), pa.array(list(counts.values()), pa.int64()),
-                    ],
-                    names=["piece", "lang", "gram", "hash", "n"],
-                )
-            held.clear()
-
+        held: dict[tuple[int, str], list[tuple[np.ndarray, ...]]] = {}
+        size = 0
         for _, texts, own in _pieces(batches):
             for key, at in own.items():
                 runs, n, _, _ = runs_of([texts[i] for i in at], order)
-                counts = held.setdefault(key, {})
-                for gram, often in zip(_strings(runs), n.tolist()):
-                    counts[gram] = counts.get(gram, 0) + often
-            if sum(map(len, held.values())) > HELD_RUNS:
-                yield from handed_on()
-        yield from handed_on()
+                held.setdefault(key, []).append((hashed(runs, key[1]), runs, n))
+                size += len(runs)
+            if size > HELD_RUNS:
+                held = {key: [_summed(parts)] for key, parts in held.items()}
+                size = sum(len(parts[0][0]) for parts in held.values())
+                if 2 * size > HELD_RUNS:  # that many different ones
+                    yield from _rows(held)
+                    held, size = {}, 0
+        yield from _rows(held)
 
     return rows.select("doc_id", "text", "lang", "piece").mapInArrow(counted, "piece LONG, lang STRING, gram STRING, hash LONG, n LONG")
 

@@ -349,6 +349,29 @@ def test_perplexity_is_that_of_plain_kneser_ney(spark):
         assert r.perplexity == pytest.approx(want[r.doc_id], rel=1e-4)
 
 
+def test_shards_and_groups_change_no_perplexity(spark, tmp_path, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.repartition(5).write.parquet(str(tmp_path / "docs"))
+    want = {r.doc_id: r for r in quality.judged(docs).collect()}
+    for name, value in (("SHARD_ROWS", 3000), ("GROUP_DOCS", 70), ("HELD_RUNS", 20_000)):
+        monkeypatch.setattr(quality, name, value)
+    for r in quality.judged(spark.read.parquet(str(tmp_path / "docs"))).collect():
+        assert r.perplexity == pytest.approx(want[r.doc_id].perplexity, rel=1e-6) and r.kept == want[r.doc_id].kept
+
+
+def test_runs_of_many_letters_are_told_apart():
+    from collections import Counter
+
+    rng = random.Random(3)
+    texts = ["".join(chr(rng.randint(33, 55000)) for _ in range(20_000)), "ab\u0000\u0000" * 50, "", "x"]
+    runs, n, letters, sizes = quality.runs_of(texts)
+    lead = "\n" * (quality.ORDER - 1)
+    plain = [(lead + t)[i : i + quality.ORDER] for t in texts for i in range(len(t))]
+    grams = quality._strings(runs)
+    assert sizes.tolist() == [20_000, 200, 0, 1] and [grams[i] for i in letters] == plain
+    assert dict(zip(grams, n.tolist())) == Counter(plain)
+
+
 def test_toxic_words_with_gaps(spark):
     tables_dir = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{tables_dir}/{n}.parquet") for n in ("documents", "labels"))
