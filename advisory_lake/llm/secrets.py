@@ -2,13 +2,15 @@
 
 Three plain patterns give the base spans. Beyond them, base64 and hex candidates are decoded
 and reported only when the bytes are a private key (nested DER lengths, or the OpenSSH
-container) or when a dotted text is a signed token whose header parses.
+container to its end) or when a dotted text is a signed token whose header parses. Base64 may be
+wrapped in lines, with or without PEM marks; without them the key's own length says where it ends.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -26,9 +28,13 @@ _ASSIGN = re.compile(
 _ASSIGN_WORDS = ("passw", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([^-]{16,}?)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----((?:[^-]++|-(?!----))*+)-----END \1-----")
+_PEM_HEADER = re.compile(r"[\x20\t]*([A-Za-z-]+):[\x20\t]*(.*)")
+_CIPHER = re.compile(r"[A-Z0-9-]+,((?:[0-9A-Fa-f]{16}){1,2})")
 _ESCAPED_BREAK = re.compile(r"\\+[nr]")  # of texts inside JSON, which may be inside JSON again
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{40,}={0,2}")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
+_BASE64_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}(?:(?:\r?\n|(?:\\+r)?\\+n)[\x20\t]*[A-Za-z0-9+/_-]+)+")
+_BREAK = re.compile(r"(?:\r?\n|(?:\\+r)?\\+n)[\x20\t]*")
 _LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_.-])")
 
@@ -52,12 +58,25 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """Spans whose decoded bytes are a private key or a signed token."""
     spans = []
     if "PRIVATE KEY-----" in text:
-        spans += [(m.start(), 3, m.end()) for m in _PEM.finditer(text) if is_private_key(decoded_base64(_ESCAPED_BREAK.sub(" ", m[2])))]
-    inside = [(a, b) for a, _, b in spans]
-    for pattern, decode in ((_BASE64, decoded_base64), (_LONG_HEX, bytes.fromhex)):
-        for m in pattern.finditer(text):
-            if not any(a <= m.start() < b for a, b in inside) and is_private_key(decode(m[0])):
-                spans.append((m.start(), 3, m.end()))
+        spans += [(m.start(), 3, m.end()) for m in _PEM.finditer(text) if is_private_block(_ESCAPED_BREAK.sub("\n", m[2]))]
+    inside, tried = [(a, b) for a, _, b in spans], 0  # in order, none over another
+
+    def covered(place: int) -> bool:
+        i = bisect.bisect_left(inside, (place + 1,)) - 1
+        return i >= 0 and place < inside[i][1]
+
+    for m in _BASE64.finditer(text):
+        if covered(m.start()):
+            continue
+        end = m.end() if is_private_key(decoded_base64(m[0])) else None
+        if end is None and m.start() >= tried and (lines := _BASE64_LINES.match(text, m.start())):
+            end, tried = _wrapped_end(text, lines), lines.end()
+        if end is not None:
+            spans.append((m.start(), 3, end))
+            bisect.insort(inside, (m.start(), end))
+    for m in _LONG_HEX.finditer(text):
+        if not covered(m.start()) and is_private_key(bytes.fromhex(m[0])):
+            spans.append((m.start(), 3, m.end()))
     if "eyJ" in text:
         spans += [(m.start(), 4, m.end()) for m in _TOKEN.finditer(text) if is_signed_token(m[1], m[2], m[3])]
     return spans
@@ -72,6 +91,87 @@ def decoded_base64(text: str) -> bytes | None:
         return None
 
 
+def is_private_block(body: str) -> bool:
+    """What stands between the marks of a PEM block: a key, or, after headers that name cipher and
+    start value, bytes that fill blocks of that cipher."""
+    lines, headers = body.strip().split("\n"), {}
+    while lines and (m := _PEM_HEADER.fullmatch(lines[0].rstrip())):
+        headers[m[1]] = m[2]
+        del lines[0]
+    data = decoded_base64("\n".join(lines))
+    if headers.get("Proc-Type", "").replace(" ", "") != "4,ENCRYPTED":
+        return is_private_key(data)
+    named = _CIPHER.fullmatch(headers.get("DEK-Info", "").strip())
+    return bool(named and data) and len(data) % (len(named[1]) // 2) == 0
+
+
+def _wrapped_end(text: str, m: re.Match) -> int | None:
+    """Where a key ends that begins a run of base64 lines; words on the lines below are not part
+    of it, since the key tells its own length."""
+    if text[m.start()] not in "Mb":  # of a sequence, of the OpenSSH name
+        return None
+    breaks = [(b.start(), b.end()) for b in _BREAK.finditer(text, m.start(), m.end())]
+    stretches = list(zip([m.start(), *(b for _, b in breaks)], [*(a for a, _ in breaks), m.end()]))
+    letters = "".join([text[a:b] for a, b in stretches])
+    data = decoded_base64(letters[: len(letters) - (len(letters) % 4 == 1)])
+    size = key_size(data) if data else None
+    if size is None:
+        return None
+    wanted = -(-size * 4 // 3)
+    data = decoded_base64(letters[:wanted])
+    if wanted > len(letters) or data is None or not is_private_key(data):
+        return None
+    for a, b in stretches:
+        if wanted <= b - a:
+            end = a + wanted
+            if end < b:  # letters that go on are no end
+                return None
+            while end < len(text) and text[end] == "=" and end < b + 2:
+                end += 1
+            return end
+        wanted -= b - a
+    return None
+
+
+def key_size(data: bytes) -> int | None:
+    """Bytes of the key that ``data`` begins with, by its own lengths."""
+    if data.startswith(_OPENSSH):
+        return _openssh_end(data)
+    if len(data) < 6 or data[0] != _SEQUENCE:
+        return None
+    width = data[1] & 0x7F if data[1] & 0x80 else 0
+    return 2 + width + (int.from_bytes(data[2 : 2 + width]) if width else data[1]) if width <= 4 else None
+
+
+def _openssh_end(data: bytes) -> int | None:
+    """Where an OpenSSH container ends: names of cipher and key derivation, options, public keys and
+    the private part; that of a plain key begins with a number given twice."""
+    at = len(_OPENSSH)
+
+    def field() -> bytes | None:
+        nonlocal at
+        size = int.from_bytes(data[at : at + 4]) if at + 4 <= len(data) else len(data)
+        start, at = at + 4, at + 4 + size
+        return data[start:at] if at <= len(data) else None
+
+    cipher, derivation, options = field(), field(), field()
+    if not cipher or not derivation or options is None or at + 4 > len(data) or not (cipher + derivation).isascii():
+        return None
+    keys, at = int.from_bytes(data[at : at + 4]), at + 4
+    if not 1 <= keys <= 16:
+        return None
+    for _ in range(keys):
+        public = field()
+        if public is None or not 0 < int.from_bytes(public[:4]) <= len(public) - 4:
+            return None
+    private = field()
+    if not private or len(private) < 8 or len(private) % 8:
+        return None
+    if cipher == b"none" and (derivation != b"none" or options or private[:4] != private[4:8]):
+        return None
+    return at
+
+
 def _items(data: bytes) -> list[tuple[int, bytes]] | None:
     """Tag and content of consecutive DER values that fill the bytes exactly."""
     items, at = [], 0
@@ -96,13 +196,11 @@ def _items(data: bytes) -> list[tuple[int, bytes]] | None:
 
 
 def is_private_key(data: bytes | None) -> bool:
-    """PKCS#1, PKCS#8 (plain and encrypted), SEC 1 or OpenSSH, by structure."""
+    """PKCS#1, PKCS#8 (plain and encrypted), SEC 1, DSA or OpenSSH, by structure."""
     if not data:
         return False
     if data.startswith(_OPENSSH):
-        rest = data[len(_OPENSSH) :]
-        size = int.from_bytes(rest[:4]) if len(rest) >= 4 else 0
-        return 0 < size <= 64 and len(rest) > 4 + size
+        return _openssh_end(data) == len(data)
     if data[0] != _SEQUENCE:
         return False
     outer = _items(data)
@@ -115,6 +213,9 @@ def is_private_key(data: bytes | None) -> bool:
     if tags[0] == _INTEGER and len(fields[0][1]) == 1 and fields[0][1][0] in (0, 1):
         if len(tags) >= 9 and all(tag == _INTEGER for tag in tags[:9]):
             return True  # RSA: version and eight numbers
+        if tags == [_INTEGER] * 6:  # DSA: version, prime, its subgroup's order, generator, both keys
+            prime, group, generator, public, private = (len(content) for _, content in fields[1:])
+            return prime >= 64 and 20 <= group <= 33 and 0 < private <= group and 0 < max(generator, public) <= prime
         if tags[1:3] == [_SEQUENCE, _OCTETS]:  # an algorithm, then the wrapped key
             named = _items(fields[1][1])
             return bool(named) and named[0][0] == _OBJECT_ID

@@ -243,7 +243,30 @@ def test_secrets_by_structure():
 
     rsa = der(0x30, der(2, b"\0"), *[der(2, b"\x01" * n) for n in (128, 3, 128, 64, 64, 64, 64, 64)])
     pkcs8 = der(0x30, der(2, b"\0"), der(0x30, der(6, b"\x2a\x86"), der(5)), der(4, rsa))
-    for key in (rsa, pkcs8, b"openssh-key-v1\0" + (4).to_bytes(4) + b"none" + b"\0" * 40):
+    dsa = der(0x30, der(2, b"\0"), *[der(2, b"\x01" * n) for n in (128, 20, 128, 128, 20)])
+
+    def field(data):
+        return len(data).to_bytes(4) + data
+
+    public = field(b"ssh-ed25519") + field(b"p" * 32)
+    openssh = b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + (1).to_bytes(4) + field(public) + field(b"abcdabcd" + b"k" * 64)
+    false = b"openssh-key-v1\0" + field(b"none") + b"not a key at all" * 4
+    assert secrets.confirmed_spans(base64.b64encode(false).decode()) == []
+    assert secrets.confirmed_spans(base64.b64encode(openssh[:-1]).decode()) == []
+    assert secrets.confirmed_spans(base64.b64encode(openssh.replace(b"abcdabcd", b"abcdabce")).decode()) == []
+    for key in (rsa, pkcs8, dsa, openssh):
+        text = base64.b64encode(key).decode()
+        for before in ("KEY=", "https://host/?k=", "key: '"):
+            assert secrets.confirmed_spans(f"{before}{text} end") == [(len(before), 3, len(before) + len(text))]
+        for ends in ("\n", "\r\n", "\\n", "\n   "):
+            wrapped = ends.join(text[i : i + 64] for i in range(0, len(text), 64))
+            assert secrets.confirmed_spans(f"see {wrapped}{ends}end of it") == [(4, 3, 4 + len(wrapped))]
+            assert secrets.confirmed_spans(f"see {wrapped[:-8]}{ends}end of it") == []
+    lines = "\n".join(base64.b64encode(b"\x07" * 160).decode()[i : i + 64] for i in range(0, 216, 64))
+    for headers, known in (("Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0F" * 16, True), ("Proc-Type: 4,ENCRYPTED", False), ("", False)):
+        pem = f"-----BEGIN RSA PRIVATE KEY-----\n{headers}\n\n{lines}\n-----END RSA PRIVATE KEY-----"
+        assert secrets.confirmed_spans(pem) == ([(0, 3, len(pem))] if known else [])
+    for key in (rsa, pkcs8, dsa, openssh):
         text = base64.b64encode(key).decode()
         assert secrets.confirmed_spans(f"say {text} end") == [(4, 3, 4 + len(text))]
         pem = f"-----BEGIN PRIVATE KEY-----\n{text}\n-----END PRIVATE KEY-----"
