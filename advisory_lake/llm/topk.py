@@ -5,8 +5,8 @@ leaf order and, for each node, centre and radius. No vector of a node has a larg
 product with a query than <query, centre> + |query| * radius. Queries go to every shard in
 blocks; a block walks a tree from the node with the largest bound to the smallest and leaves
 out nodes, and queries at a node, whose bound is below the k-th score so far. That score is
-shared: queries start with the k-th score found in a first shard, so most nodes of the others
-are never opened.
+shared: shards are searched in waves of 1, 1, 2, 4 and so on, and queries start each wave with
+the k-th score found in all waves before, so most nodes of later shards are never opened.
 """
 
 from __future__ import annotations
@@ -148,8 +148,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     dealt = candidates.withColumn("shard", shard).withColumn("block", _numbers(0, blocks - 1))
     asked = asked.withColumn("query", F.xxhash64("vec_id", "vector")).withColumn("block", block)
 
-    def searched(first: bool, asking: DataFrame) -> DataFrame:
-        low, high = (0, 0) if first else (1, shards - 1)
+    def searched(low: int, high: int, asking: DataFrame) -> DataFrame:
         everywhere = asking.withColumn("shard", _numbers(low, high))
 
         def of_pair(key, rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
@@ -164,18 +163,23 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
             return pd.DataFrame(hits, columns=["query", "query_id", "vec_id", "score"]).astype("int64")
 
         keys = ["size", "shard", "block"]
-        here = dealt.where(F.col("shard") == 0 if first else F.col("shard") > 0)
+        here = dealt.where(F.col("shard").between(low, high))
         return (
             here.groupBy(*keys)
             .cogroup(everywhere.groupBy(*keys))
             .applyInPandas(of_pair, "query LONG, query_id LONG, vec_id LONG, score LONG")
         )
 
-    hits = written(searched(True, asked.withColumn("least", F.lit(None).cast("double"))), "hits")
-    if shards > 1:
-        full = hits.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("least"))
-        started = asked.join(full.where(F.col("n") >= k).select("query", "least"), "query", "left")
-        hits = hits.union(searched(False, started))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best, low, high = None, 0, 0
+    asking = asked.withColumn("least", F.lit(None).cast("double"))
+    while low < shards:  # 1, 1, 2, 4 ... shards, each wave with the scores of all before it
+        hits = searched(low, min(high, shards - 1), asking)
+        hits = hits if best is None else hits.union(best)
+        ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        low, high = high + 1, 2 * high + 1
+        if low < shards:
+            best = written(ranked.drop("rank"), "hits")
+            full = best.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("least"))
+            asking = asked.join(full.where(F.col("n") >= k).select("query", "least"), "query", "left")
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

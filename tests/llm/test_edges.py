@@ -232,6 +232,22 @@ def test_layouts_never_seen(spark):
     assert wrong <= 0.03 * total
 
 
+def test_top_k_over_many_shards_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 30)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 3)
+    rng = random.Random(11)
+    rows = [(i, [float(rng.randint(-9, 9)) for _ in range(6)]) for i in range(260)]
+    rows += [(400 + i, rows[i][1]) for i in range(20)]  # ties
+    vectors = spark.createDataFrame(rows, "vec_id LONG, vector ARRAY<DOUBLE>")
+    found = topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 5).collect()
+    want = set()
+    for query, asked in rows:
+        if query % 20 == 0:
+            scores = sorted((-int(sum(a * b for a, b in zip(asked, v))), i) for i, v in rows if i != query)
+            want |= {(query, rank, i, -score) for rank, (score, i) in enumerate(scores[:5], 1)}
+    assert {tuple(r) for r in found} == want and len(found) == len(want)
+
+
 def test_secrets_by_structure():
     import base64
     import json
