@@ -267,7 +267,7 @@ def answered(counts: DataFrame, models: str, bits: int) -> str:
             shard, piece, cell = shard[new], piece[new], cell[new]
             values = np.zeros(len(cell), np.float32)
             for number in np.unique(shard).tolist():
-                kept = worker_cache("quality-shards")
+                kept = worker_cache(f"quality-shards {uri}")
                 if number not in kept:
                     kept.clear()
                     kept[number] = _read(uri, "shard", number)
