@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from advisory_lake.functions.paths import checked_relative, clean_path, join_path, parent_dir
 from advisory_lake.operators.quality import Check, enforce, run_checks
+from advisory_lake.session import delete_folder
 from advisory_lake.sources.snapshot import ROWS_PER_FILE, read_snapshot, write_snapshot
-from advisory_lake.sources.stores import add_file_digests, arrow_uri, walk
+from advisory_lake.sources.stores import add_file_digests, arrow_uri, beside, publish, qualified, walk
 from advisory_lake.sources.tree import read_files
 
 PARALLEL_TASKS = 200
@@ -77,6 +78,31 @@ def unpack_snapshot(
     return unpack(packed, root, tasks)
 
 
+def restore_snapshot(
+    spark: SparkSession, snapshot_path: str, root: str, tasks: int | None = PARALLEL_TASKS
+) -> DataFrame:
+    """Recreate the tree as one step and give its totals; unlike ``unpack`` this runs at once.
+
+    All files are written to a hidden folder beside ``root`` and published when every one is there,
+    so a job that fails leaves ``root`` as it was. An absent ``root`` appears by one rename. Into a
+    tree that is there, files are moved one by one; should that stop half way, the error names the
+    staged folder, and ``stores.publish`` finishes the work.
+    """
+    target = qualified(spark, root)
+    staged = beside(target)
+    try:
+        totals = written_totals(unpack_snapshot(spark, snapshot_path, staged, tasks)).first()
+    except BaseException:
+        delete_folder(spark, staged)
+        raise
+    try:
+        publish(spark, staged, target)
+    except Exception as error:
+        error.add_note(f"the whole tree is staged in {staged}")
+        raise
+    return spark.createDataFrame([tuple(totals)], WRITTEN_DDL)
+
+
 def refuse_colliding_paths(snapshot: DataFrame) -> None:
     """Raise when two packed names have one clean path: one file would overwrite the other."""
     named = snapshot.select(clean_path(F.col("relative_path")).alias("clean_path"), "relative_path")

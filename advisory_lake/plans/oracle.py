@@ -61,12 +61,12 @@ affected AS (
 # Packed documents: the path as packed, the path as a file, and the size.
 FILES = """
 files AS (
-  SELECT replace(packed_path, '\\', '/') AS clean_path, packed_path, size_bytes, lang
+  SELECT replace(packed_path, '\\', '/') AS clean_path, packed_path, size_bytes, lang, text
   FROM (
-    SELECT size_bytes, lang,
+    SELECT size_bytes, lang, text,
       'cves' || sep || lang || sep || source || sep || (doc_id // 1000) || 'xxx' || sep || doc_id || ext AS packed_path
     FROM (
-      SELECT doc_id, lang, source, octet_length(encode(text)) AS size_bytes,
+      SELECT doc_id, lang, source, text, octet_length(encode(text)) AS size_bytes,
         CASE WHEN source = 'src0' THEN '\\' ELSE '/' END AS sep,
         CASE WHEN source = 'src3' THEN '.md' ELSE '.json' END AS ext
       FROM documents)))
@@ -138,6 +138,7 @@ def all_sql() -> dict[str, str]:
         "snapshot_unpack": _with(
             FILES, "SELECT count(*) AS files_written, sum(size_bytes)::BIGINT AS bytes_written FROM files"
         ),
+        "snapshot_restore": _with(FILES, "SELECT clean_path AS relative_path, size_bytes, sha256(text) AS sha256 FROM files"),
         "snapshot_row_parity": "SELECT count(*) AS packed_rows, count(*) AS tree_files, true AS passed FROM documents",
         "snapshot_content_verify": "SELECT count(*) AS files_compared, 0::BIGINT AS mismatched FROM documents",
         "snapshot_damage_verify": """

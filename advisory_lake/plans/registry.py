@@ -74,6 +74,17 @@ def snapshot_unpack(feed: Feeds) -> DataFrame:
     return packing.written_totals(written)
 
 
+@query
+def snapshot_restore(feed: Feeds) -> DataFrame:
+    """Restored as a whole, and again over the tree that is then there; what the files hold."""
+    root = feed.new_folder("restored")
+    for _ in range(2):
+        packing.restore_snapshot(feed.spark, feed.document_snapshot, root, feed.spark.sparkContext.defaultParallelism)
+    return tree.read_files(feed.spark, root).select(
+        "relative_path", F.octet_length("file_content").cast("long").alias("size_bytes"), F.sha2("file_content", 256).alias("sha256")
+    )
+
+
 @query
 def snapshot_row_parity(feed: Feeds) -> DataFrame:
     packed = snapshot.read_snapshot(feed.spark, feed.document_snapshot)

@@ -4,22 +4,27 @@ reading and checking of single files.
 Spark's own file sources hold a tree's listing on the driver and leave out hidden and empty
 files. The walk here goes level by level: tasks open the folders of a level, and what they
 find is written to the shared folder, so that the driver holds no names and every later step
-sees the same moment. Listing one folder is one call; a folder's own files are in memory once.
+sees the same moment. A folder on a local or mounted store is listed page by page.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from advisory_lake.session import few_tasks, run_folder
+from advisory_lake.session import delete_folder, few_tasks, run_folder
 
 # Hadoop's names of stores and Arrow's.
 ARROW_SCHEMES = {"s3": "s3", "s3a": "s3", "s3n": "s3", "hdfs": "hdfs", "viewfs": "viewfs", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 
+RENAMING = ("local", "hdfs")  # Arrow's names of stores that rename a folder in one step
+
 READ_BYTES = 16 << 20  # file contents that a task holds at once
+PAGE_NAMES = 10_000  # names of a folder that a task holds at once
 
 
 def qualified(spark: SparkSession, root: str) -> str:
@@ -87,38 +92,123 @@ def walk(spark: SparkSession, root: str, dot_names: bool = True) -> DataFrame:
     return every.where("length is not null").drop("level")
 
 
-def folder_lister(uri: str, dot_names: bool = True):
-    """For mapInArrow over folders: their entries, folders without length."""
+def folder_lister(uri: str, dot_names: bool = True, page: int = PAGE_NAMES):
+    """For mapInArrow over folders: their entries, folders without length.
+
+    Of a local or mounted folder a task holds one page of names at a time, however many there
+    are; other stores answer with the names of a folder at once.
+    """
     # A closure with its own imports: workers need no copy of this package.
     def list_folders(batches):
+        import os
         import re
+        from itertools import islice
 
         import pyarrow as pa
         from pyarrow import fs
 
         unfinished = re.compile(r"\.[0-9a-f]{16,32}\.part")  # what a lost unpacking task leaves
         store, base = fs.FileSystem.from_uri(uri)
+
+        def local_entries(folder):
+            try:
+                found = os.scandir(folder)
+            except FileNotFoundError:
+                return
+            with found:
+                for entry in found:
+                    try:
+                        known = entry.stat()
+                        yield entry.name, None if entry.is_dir() else known.st_size, known.st_mtime_ns // 1000
+                    except FileNotFoundError:
+                        continue  # gone since, or a link to nothing
+
+        def store_entries(folder):
+            for e in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+                yield e.base_name, e.size if e.type == fs.FileType.File else None, e.mtime
+
+        entries = local_entries if store.type_name == "local" else store_entries
         for batch in batches:
             for folder in batch.column(0).to_pylist():
-                selector = fs.FileSelector(f"{base}/{folder}" if folder else base, allow_not_found=True)
-                found = [
+                found = (
                     e
-                    for e in store.get_file_info(selector)
-                    if (dot_names or not e.base_name.startswith(".")) and not unfinished.fullmatch(e.base_name)
-                ]
-                for start in range(0, len(found), 10_000):
-                    part = found[start : start + 10_000]
+                    for e in entries(f"{base}/{folder}" if folder else base)
+                    if (dot_names or not e[0].startswith(".")) and not unfinished.fullmatch(e[0])
+                )
+                while part := list(islice(found, page)):
+                    names, lengths, times = zip(*part)
                     yield pa.RecordBatch.from_pydict(
                         {
-                            "relative_path": pa.array([f"{folder}/{e.base_name}".lstrip("/") for e in part], pa.string()),
-                            "length": pa.array([e.size if e.type == fs.FileType.File else None for e in part], pa.int64()),
-                            "modificationTime": pa.array([e.mtime for e in part], pa.timestamp("us", "UTC")),
+                            "relative_path": pa.array([f"{folder}/{name}".lstrip("/") for name in names], pa.string()),
+                            "length": pa.array(lengths, pa.int64()),
+                            "modificationTime": pa.array(times, pa.timestamp("us", "UTC")),
                         }
                     )
 
     return list_folders
 
 
+def beside(root: str) -> str:
+    """A new hidden folder name next to ``root``, in the same store."""
+    parent, slash, name = root.rstrip("/").rpartition("/")
+    if not name or re.fullmatch(r"[a-zA-Z][a-zA-Z0-9+.-]*:/", parent):  # a whole bucket or host
+        raise ValueError(f"{root} has no parent folder to stage files in")
+    return f"{parent}{slash}.{name}-{uuid.uuid4().hex[:12]}.staged"
+
+
+def publish(spark: SparkSession, staged: str, root: str) -> None:
+    """Move a whole staged tree to ``root``.
+
+    One rename when there is no ``root`` yet and the store has renames. Otherwise tasks move the
+    files, each in one step, over those of the same path; other files of ``root`` stay. Files that
+    have been moved are not staged any more, so that a call that failed can be made again.
+    """
+    from pyarrow import fs
+
+    store, target = fs.FileSystem.from_uri(arrow_uri(root))
+    _, source = fs.FileSystem.from_uri(arrow_uri(staged))
+    if not exists(staged):
+        store.create_dir(target, recursive=True)
+    elif store.type_name in RENAMING and store.get_file_info(target).type == fs.FileType.NotFound:
+        store.move(source, target)
+    else:
+        moves = walk(spark, staged).repartition(few_tasks(spark), "relative_path").select("relative_path")
+        moves.mapInArrow(_file_mover(arrow_uri(staged), arrow_uri(root)), "moved LONG").agg(F.sum("moved")).collect()
+        delete_folder(spark, staged)
+
+
+def _file_mover(source_uri: str, target_uri: str):
+    # A closure with its own imports: workers need no copy of this package.
+    def move(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, source = fs.FileSystem.from_uri(source_uri)
+        _, target = fs.FileSystem.from_uri(target_uri)
+        folders = set()
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                place, folder = f"{target}/{name}", f"{target}/{name}".rpartition("/")[0]
+                if folder not in folders:
+                    store.create_dir(folder, recursive=True)
+                    folders.add(folder)
+                for attempt in range(5):
+                    try:
+                        store.move(f"{source}/{name}", place)
+                        break
+                    except OSError:
+                        if store.get_file_info(f"{source}/{name}").type == fs.FileType.NotFound:
+                            break  # an earlier attempt of this task has moved it
+                        there = store.get_file_info(place).type
+                        if attempt == 4 or there == fs.FileType.Directory:
+                            raise
+                        if there == fs.FileType.File:  # not every store renames onto an existing file
+                            store.delete_file(place)
+            yield pa.RecordBatch.from_pydict({"moved": pa.array([batch.num_rows], pa.int64())})
+
+    return move
+
+
 def read_contents(listing: DataFrame, root: str) -> DataFrame:
     """relative_path and file_content of listed files. A file that has vanished since or may
     not be read is left out, as a count against the listing shows; any other error fails the

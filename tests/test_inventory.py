@@ -7,8 +7,9 @@ import pytest
 from advisory_lake import session
 from advisory_lake.functions import paths
 from advisory_lake.operators import inventory, partitioning
-from advisory_lake.sources.tree import list_files, list_files_if_present
 from advisory_lake.session import remove_run_folders, run_folder
+from advisory_lake.sources.stores import PAGE_NAMES, folder_lister
+from advisory_lake.sources.tree import list_files, list_files_if_present
 from advisory_lake.streaming.arrival import count_arrivals, count_until_now, keep_polling, ledger_of, watch_arrivals
 from advisory_lake.streaming.ledger import ARRIVALS, Ledger, Poll
 
@@ -29,6 +30,24 @@ def test_files_per_year_counts_files_not_lines(spark, folder):
     assert inventory.files_total(per_year).first().total_files == 4
 
 
+def test_one_flat_folder_of_many_names_is_listed_in_pages(spark, folder):
+    flat = Path(folder, "flat")
+    flat.mkdir()
+    for i in range(200_000):
+        os.mknod(flat / f"f{i}.json")
+    (flat / "f7.json").write_text("seven")
+    (flat / "nowhere").symlink_to(flat / "absent")
+    listed = list_files(spark, folder)
+    assert listed.agg({"length": "sum"}).first()[0] == 5
+    assert listed.select("relative_path").distinct().count() == 200_000
+
+    import pyarrow as pa
+
+    pages = list(folder_lister(folder)([pa.RecordBatch.from_pydict({"relative_path": ["flat", "absent", ""]})]))
+    assert sum(page.num_rows for page in pages) == 200_001
+    assert max(page.num_rows for page in pages) == PAGE_NAMES
+
+
 def test_total_of_an_empty_tree_is_zero(spark, folder):
     per_year = inventory.files_per_year(list_files(spark, folder))
     assert inventory.files_total(per_year).first().total_files == 0

@@ -3,12 +3,14 @@ import os
 from pathlib import Path
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
 from advisory_lake.operators import packing
 from advisory_lake.operators.quality import QualityError
+from advisory_lake.sources import stores
 from advisory_lake.sources.snapshot import read_snapshot, write_snapshot
-from advisory_lake.sources.stores import arrow_uri, with_default
+from advisory_lake.sources.stores import arrow_uri, publish, with_default
 from advisory_lake.sources.tree import list_files, read_files
 
 CONTENT = {
@@ -101,6 +103,81 @@ def test_dotted_names_are_safe(spark, tmp_path):
     assert on_disk(tmp_path / "t") == {"a..b/..c.json": b"x"}
 
 
+def beside(root):
+    return [p.name for p in Path(root).parent.iterdir() if p.name.endswith(".staged")]
+
+
+def test_restore_appears_as_a_whole(spark, packed, tmp_path):
+    target = tmp_path / "some where" / "tree"
+    target.parent.mkdir()
+    totals = packing.restore_snapshot(spark, packed, str(target), tasks=4)
+    assert tuple(totals.first()) == (len(CONTENT), sum(map(len, CONTENT.values())))
+    assert on_disk(target) == CONTENT and not beside(target)
+
+
+def test_restore_over_a_tree_replaces_its_files_and_keeps_others(spark, packed, root):
+    Path(root, "cves/2024/a.json").write_bytes(b"stale")
+    Path(root, "own.txt").write_bytes(b"kept")
+    packing.restore_snapshot(spark, packed, root, tasks=None)
+    assert on_disk(root) == CONTENT | {"own.txt": b"kept"} and not beside(root)
+
+
+@pytest.mark.parametrize("fault", ["unsafe path", "lost worker"])
+@pytest.mark.parametrize("there", [False, True])
+def test_a_failed_restore_leaves_the_target_as_it_was(spark, tmp_path, monkeypatch, fault, there):
+    target, given = tmp_path / "t", str(tmp_path / "p")
+    if there:
+        target.mkdir()
+        (target / "f007").write_bytes(b"old")
+    rows = [(f"f{i:03}", b"new") for i in range(200)]
+    if fault == "unsafe path":
+        rows.append(("../x", b"new"))
+    else:
+        plain = packing.unpack
+
+        def dying(snapshot, root, tasks):
+            def lose_one(batches):
+                import os
+
+                for batch in batches:
+                    yield batch
+                    if "f100" in batch.column(0).to_pylist():
+                        os._exit(1)  # after its files were handed on
+
+            return plain(snapshot.mapInArrow(lose_one, snapshot.schema), root, tasks)
+
+        monkeypatch.setattr(packing, "unpack", dying)
+    write_snapshot(spark.createDataFrame(rows, "relative_path STRING, file_content BINARY"), given)
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        packing.restore_snapshot(spark, given, str(target), tasks=None)
+    assert on_disk(target) == ({"f007": b"old"} if there else {})
+    assert target.exists() == there and not beside(target)
+
+
+def test_a_publication_that_stopped_is_finished(spark, packed, root, tmp_path):
+    staged = tmp_path / ".x.staged"
+    packing.unpack_snapshot(spark, packed, str(staged), tasks=2).collect()
+    (staged / "README.md").rename(Path(root, "README.md"))  # what the first call had moved
+    Path(root, "cves/2024/a.json").write_bytes(b"stale")
+    publish(spark, str(staged), root)
+    assert on_disk(root) == CONTENT and not staged.exists()
+
+
+def test_restore_of_nothing(spark, tmp_path):
+    write_snapshot(spark.createDataFrame([], "relative_path STRING, file_content BINARY"), str(tmp_path / "p"))
+    totals = packing.restore_snapshot(spark, str(tmp_path / "p"), str(tmp_path / "t"))
+    assert tuple(totals.first()) == (0, 0) and on_disk(tmp_path / "t") == {}
+
+
+def test_staged_folders_are_beside_the_target():
+    assert stores.beside("s3://b/x/").startswith("s3://b/.x-")
+    assert stores.beside("file:///x").startswith("file:///.x-")
+    assert stores.beside("/a/b c").startswith("/a/.b c-")
+    for root in ("s3://b", "hdfs://name:8020", "/"):
+        with pytest.raises(ValueError):
+            stores.beside(root)
+
+
 def test_verification_passes(spark, packed, root):
     assert summary(spark, packed, root) == (len(CONTENT), 0)
     assert tuple(packing.row_parity(read_snapshot(spark, packed), list_files(spark, root)).first()) == (6, 6, True)

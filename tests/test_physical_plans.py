@@ -13,7 +13,8 @@ SMALL = "/root/testdata/sf0.001"
 QUERIES = registry.all_queries()
 # reading, writing and checking single files
 WITH_PYTHON = {
-    "snapshot_unpack", "snapshot_content_verify", "snapshot_sample_verify", "bronze_ingest_files", "bronze_ingest_mixed"
+    "snapshot_unpack", "snapshot_restore", "snapshot_content_verify", "snapshot_sample_verify", "bronze_ingest_files",
+    "bronze_ingest_mixed",
 }
 # texts of packed files that are not one record each are cut by Arrow batches, the others stay
 CUT_TEXTS = {
