@@ -17,7 +17,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,9 +27,16 @@ from advisory_lake.llm.shared import id_and_text, per_row
 
 CHUNK = 512  # symbols read between two emissions of a long word
 CACHED_PIECES = 500_000  # distinct pieces a worker remembers, then it starts anew
-PIECES_AT_ONCE = 4096  # pieces that the decoder takes in one step
+BLOCK = 1 << 16  # characters of a text that are split into words at once
+TOKENS_AT_ONCE = 4096  # words, or tokens of a long word, that leave in one step
+LONG_WORD = 4096  # characters from which a word is taken in sections
 LONGEST_CACHED = 64  # characters of a piece that is remembered
 
+_PLAIN_BLANK = re.compile(r"[ \t\r\n]")
+_CUT = re.compile(
+    r"(?<=[a-zA-Z])(?=[!-&(-/:-@\[-`{-~])|(?<=[!-&(-/:-@\[-`{-~])(?=[a-zA-Z])|(?=[0-9])|(?<=[0-9])(?=[!-~])"
+)
+
 
 def byte_letters() -> dict[int, str]:
     """The printable letter that stands for each byte in byte-level vocabularies."""
@@ -181,7 +188,7 @@ class WordTokenizer:
         library = Tokenizer.from_file(path)
         self.normalize, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.odd_blank = re.compile("[\x1c-\x1f]")  # white space for str.split() alone
-        self.blank = regex.compile(r"\s+")
+        self.blank, self.word = regex.compile(r"\s+"), regex.compile(r"\S+")
         texts = {i: token for token, i in model["vocab"].items()} | {i: token for token, i in added.items()}
         self.texts = [texts[i].encode() if i in texts else None for i in range(max(texts) + 1)]
         letters = byte_letters()
@@ -190,37 +197,81 @@ class WordTokenizer:
         self.pieces: dict[str, tuple[bytes, bytes]] = {}
         self.parts: dict[str, list[int]] = {}
 
-    def encode(self, text: str) -> tuple[list[bytes], list[bytes]]:
-        """For each piece of text, its ids as little-endian 32-bit numbers and its tokens' bytes
-        with a space between them, as a tokenizer file without a decoder asks."""
+    def stream(self, text: str) -> Iterator[tuple[bytes, bytes]]:
+        """Ids as little-endian 32-bit numbers and the tokens' bytes with a space between them, as a
+        tokenizer file without a decoder asks, in steps of some BLOCK characters or TOKENS_AT_ONCE
+        tokens. Lists hold what belongs to one step, however long the text or a word is."""
         get = self.pieces.get
-        if "<" in text and any(token in text for token in self.added):
-            spans = self.added_pattern.split(text)
-        else:
-            spans = [text]
-        ids, shown = [], []
-        for span in spans:
-            if span in self.added:
-                ids.append(self.added[span].to_bytes(4, "little"))
-                shown.append(self.texts[self.added[span]])
-                continue
-            for word in self.blank.split(span) if self.odd_blank.search(span) else span.split():
-                known = get(word)
-                if known is None:
-                    known = self._piece(word)
-                if known[0]:
-                    ids.append(known[0])
-                    shown.append(known[1])
-        return ids, shown
+        for block in blocks(text):
+            ids, shown = [], []
+            for span in self._spans(block):
+                if len(ids) >= TOKENS_AT_ONCE:
+                    yield b"".join(ids), b" ".join(shown)
+                    ids, shown = [], []
+                if span in self.added:
+                    ids.append(self.added[span].to_bytes(4, "little"))
+                    shown.append(self.texts[self.added[span]])
+                    continue
+                for word in self._words(span):
+                    known = get(word)
+                    if known is None:
+                        if len(word) > LONG_WORD:
+                            if ids:
+                                yield b"".join(ids), b" ".join(shown)
+                                ids, shown = [], []
+                            yield from self._long(word)
+                            continue
+                        known = self._piece(word)
+                    if known[0]:
+                        ids.append(known[0])
+                        shown.append(known[1])
+                        if len(ids) >= TOKENS_AT_ONCE:
+                            yield b"".join(ids), b" ".join(shown)
+                            ids, shown = [], []
+            if ids:
+                yield b"".join(ids), b" ".join(shown)
+
+    def _spans(self, block: str) -> Iterator[str]:
+        """Added tokens, and the text between them."""
+        if "<" not in block or not any(token in block for token in self.added):
+            yield block
+            return
+        start = 0
+        for token in self.added_pattern.finditer(block):
+            yield block[start : token.start()]
+            yield token[0]
+            start = token.end()
+        yield block[start:]
+
+    def _words(self, span: str) -> Iterable[str]:
+        if len(span) > 2 * BLOCK:  # of a text without plain blanks
+            return (word[0] for word in self.word.finditer(span))
+        return self.blank.split(span) if self.odd_blank.search(span) else span.split()
+
+    def _long(self, word: str) -> Iterator[tuple[bytes, bytes]]:
+        """A word of any length, each of its parts through the transducer."""
+        ids, shown = array("I"), []
+        for section in sections(word):
+            for part in self._parts(section):
+                for token in self._tokens(part):
+                    ids.append(token)
+                    shown.append(self.texts[token])
+                    if len(shown) >= TOKENS_AT_ONCE:
+                        yield ids.tobytes(), b" ".join(shown)
+                        ids, shown = array("I"), []
+        if shown:
+            yield ids.tobytes(), b" ".join(shown)
+
+    def _parts(self, piece: str) -> Iterator[str]:
+        """Parts that are merged each on its own, letters standing for bytes."""
+        if piece.isascii() and piece.isprintable():
+            return (part[0] for part in self.ascii.finditer(piece.lower()))
+        return (part for part, _ in self.split(self.normalize(piece)))
 
     def _piece(self, piece: str) -> tuple[bytes, bytes]:
         """Ids and token bytes of text without white space."""
-        if piece.isascii() and piece.isprintable():
-            parts = self.ascii.findall(piece.lower())
-        else:
-            parts = [part for part, _ in self.split(self.normalize(piece))]
         ids = array("I")
-        for part in parts:
+        for part in self._parts(piece):
             ids.extend(self._tokens(part))
         known = ids.tobytes(), b" ".join([self.texts[i] for i in ids])
         if len(piece) <= LONGEST_CACHED:
@@ -230,24 +281,54 @@ class WordTokenizer:
         return known
 
     def _tokens(self, part: str) -> Iterable[int]:
-        """Tokens of one part of a word, its letters standing for bytes."""
+        """Tokens of one part. A part of no more than LONGEST_CACHED letters is shorter than the
+        lookahead, so that a transducer would hold it to its end: its tokens are remembered."""
+        if len(part) > LONGEST_CACHED:
+            transducer = Transducer(self.merges)
+            return chain(transducer.push(self._symbols(part)), finishing(transducer))
         known = self.parts.get(part)
         if known is None:
-            symbols = self._symbols(part)
-            if len(part) > LONGEST_CACHED:
-                transducer = Transducer(self.merges)
-                return [*transducer.push(symbols), *transducer.finish()]
-            known = self.merges.merged(symbols)
+            known = self.merges.merged(list(self._symbols(part)))
             if len(self.parts) >= CACHED_PIECES:
                 self.parts.clear()
             self.parts[part] = known
         return known
 
-    def _symbols(self, part: str) -> list[int]:
+    def _symbols(self, part: str) -> Iterator[int]:
         """The vocabulary has no token for unknown letters; they give nothing."""
-        get = self.merges.vocab.get
-        found = [*map(get, part[:-1]), get(part[-1] + self.suffix)]
-        return [s for s in found if s is not None] if None in found else found
+        get, last = self.merges.vocab.get, len(part) - 1
+        for i, letter in enumerate(part):
+            symbol = get(letter if i < last else letter + self.suffix)
+            if symbol is not None:
+                yield symbol
+
+
+def finishing(transducer: Transducer) -> Iterator[int]:
+    """What the transducer still holds, asked for when all else has been taken."""
+    yield from transducer.finish()
+
+
+def blocks(text: str) -> Iterator[str]:
+    """The text in pieces of about BLOCK characters, cut before a blank that all pattern languages
+    take for one; a stretch without such a blank stays whole."""
+    start = 0
+    while start < len(text):
+        found = _PLAIN_BLANK.search(text, start + BLOCK)
+        stop = found.start() if found else len(text)
+        yield text[start:stop] if start or stop < len(text) else text
+        start = stop
+
+
+def sections(word: str) -> Iterator[str]:
+    """A long word in pieces of about LONG_WORD characters. It is cut where neither normalization
+    nor the split into parts looks across: between an ASCII letter and an ASCII mark other than the
+    apostrophe, beside an ASCII digit. A run of letters stays whole."""
+    start = 0
+    while start < len(word):
+        found = _CUT.search(word, start + LONG_WORD)
+        stop = found.start() if found else len(word)
+        yield word[start:stop]
+        start = stop
 
 
 def _widths(model: dict, suffix: str) -> dict[int, int]:
@@ -274,16 +355,18 @@ def round_trips(docs: DataFrame, path: str) -> DataFrame:
     """Encode and decode every whole text: the number of tokens and digests of ids and text.
 
     Null and empty texts have no tokens. Every row gives a row; columns other than doc_id and
-    text do not matter. ``path`` is a tokenizer file that every executor has.
+    text do not matter. ``path`` is a tokenizer file that every executor has. Besides the text
+    itself and copies of its longest run of letters, memory does not follow the text's length.
     """
 
     def digests(doc_id, text):
-        ids, shown = word_tokenizer(path).encode(text or "")
-        packed, decoder, decoded = b"".join(ids), Decoder(b" "), hashlib.sha256()
-        for tokens in (b" ".join(shown[i : i + PIECES_AT_ONCE]) for i in range(0, len(shown), PIECES_AT_ONCE)):
-            decoded.update(decoder.push(tokens).encode())
+        n_tokens, ids, decoder, decoded = 0, hashlib.sha256(), Decoder(b" "), hashlib.sha256()
+        for packed, shown in word_tokenizer(path).stream(text or ""):
+            n_tokens += len(packed) // 4
+            ids.update(packed)
+            decoded.update(decoder.push(shown).encode())
         decoded.update(decoder.finish().encode())
-        return doc_id, len(packed) // 4, hashlib.sha256(packed).hexdigest(), decoded.hexdigest()
+        return doc_id, n_tokens, ids.hexdigest(), decoded.hexdigest()
 
     return id_and_text(docs).mapInArrow(per_row(digests, _ROWS), ddl(_ROWS))
 
@@ -293,6 +376,6 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
     rows = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def encoded(doc_id, text):
-        return doc_id, array("i", b"".join(word_tokenizer(path).encode(text or "")[0])).tolist()
+        return doc_id, array("i", b"".join(packed for packed, _ in word_tokenizer(path).stream(text or ""))).tolist()
 
     return id_and_text(docs).mapInArrow(per_row(encoded, rows), "doc_id BIGINT, ids ARRAY<INT>")

@@ -298,9 +298,13 @@ def test_secrets_by_structure():
     assert secrets._masked("a token = 0123456789abcdef b", "#") == "a # b"
 
 
-def test_encoding_of_odd_texts():
+@pytest.mark.parametrize("block, long_word", [(bpe.BLOCK, bpe.LONG_WORD), (40, 7)])
+def test_encoding_of_odd_texts(monkeypatch, block, long_word):
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(bpe, "BLOCK", block)
+    monkeypatch.setattr(bpe, "LONG_WORD", long_word)
+    bpe.word_tokenizer(WORDS).pieces.clear()
     rng = random.Random(5)
     letters = "aabbcdeeeinorstth éßñ你😀́ ​ \x1c\x85.'S,İΣς0123 \n\t<|>"
     texts = ["".join(rng.choices(letters, k=rng.randint(0, 80))) for _ in range(600)]
@@ -308,7 +312,8 @@ def test_encoding_of_odd_texts():
     texts += ["a" * 3000, "an" * 2000, "<|endoftext|>Hello<|startoftext|> x", "", " ", "it's I'LL", "é" * 2000, "=-" * 900]
     words, byte = Tokenizer.from_file(WORDS), Tokenizer.from_file(BYTES)
     for text in texts:
-        ids, shown = bpe.word_tokenizer(WORDS).encode(text)
+        steps = [*bpe.word_tokenizer(WORDS).stream(text)]
+        ids, shown = zip(*steps) if steps else ((), ())
         want = words.encode(text, add_special_tokens=False).ids
         assert b"".join(ids) == b"".join(i.to_bytes(4, "little") for i in want)
         assert b" ".join(shown).decode() == words.decode(want, skip_special_tokens=False)
@@ -316,11 +321,57 @@ def test_encoding_of_odd_texts():
         assert packing.byte_tokenizer(BYTES).encode(text) == b"".join(i.to_bytes(4, "little") for i in want)
 
 
+def test_sections_of_long_words(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "LONG_WORD", 5)
+    rng, words = random.Random(6), Tokenizer.from_file(WORDS)
+    letters = "aéstrelldmv\'\'\'\'109.!?-\u0301\u0327\u00a0ß你"
+    for _ in range(1500):
+        text = "".join(rng.choices(letters, k=rng.randint(6, 60)))
+        bpe.word_tokenizer(WORDS).pieces.clear()
+        want = words.encode(text, add_special_tokens=False).ids
+        assert b"".join(i for i, _ in bpe.word_tokenizer(WORDS).stream(text)) == b"".join(i.to_bytes(4, "little") for i in want)
+
+
+def text_of_kind(kind, n):
+    rng = random.Random(n)
+    if kind == "one run of letters":
+        return "".join(rng.choices("aeinorst", k=n))
+    if kind == "one word of many parts":
+        return "".join(rng.choices("aeinorst0.", k=n))
+    if kind == "added tokens":
+        return "<|endoftext|>" * (n // 13)
+    return {"words": " ", "odd blanks": "\u00a0"}[kind].join("".join(rng.choices("aeinorst", k=5)) for _ in range(n // 6))
+
+
+@pytest.mark.parametrize("kind", ["words", "one run of letters", "one word of many parts", "odd blanks", "added tokens"])
+def test_memory_does_not_follow_the_text(kind):
+    import tracemalloc
+
+    tokenizer, peaks = bpe.word_tokenizer(WORDS), []
+    for n in (100_000, 400_000):
+        given, seen, decoder = text_of_kind(kind, n), 0, bpe.Decoder(b" ")
+        tokenizer.pieces.clear()  # what is remembered has a bound of its own
+        tokenizer.parts.clear()
+        tracemalloc.start()
+        for ids, shown in tokenizer.stream(given):
+            seen += len(ids) // 4
+            decoder.push(shown)
+            tokenizer.pieces.clear()
+            tokenizer.parts.clear()
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert seen > n // 20
+    copies = {"one run of letters": 3}.get(kind, 1)  # of the text; a list of its symbols would be eight more
+    assert peaks[1] - peaks[0] < copies * 300_000 + 300_000, peaks
+
+
 def test_transducer_holds_a_bounded_number_of_symbols():
     merges = bpe.word_tokenizer(WORDS).merges
     rng = random.Random(2)
     for length in (50, 700, 3000):
-        symbols = bpe.word_tokenizer(WORDS)._symbols("".join(rng.choices("abcdeinorst", k=length)))
+        symbols = list(bpe.word_tokenizer(WORDS)._symbols("".join(rng.choices("abcdeinorst", k=length))))
         transducer, tokens = bpe.Transducer(merges, chunk=3), []
         for symbol in symbols:
             tokens += transducer.push([symbol])
