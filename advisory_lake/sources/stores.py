@@ -252,8 +252,9 @@ def _file_reader(uri: str):
 
 
 def add_file_digests(named: DataFrame, root: str) -> DataFrame:
-    """Add the SHA-256 of the file below ``root`` that each row names, null when it cannot
-    be read: relative_path, packed, found. For a few files out of a large tree."""
+    """Add the SHA-256 of the file below ``root`` that each row names, null when there is none:
+    relative_path, packed, found. A file that is there but cannot be read fails the task, which
+    Spark tries again. For a few files out of a large tree."""
     return named.select("relative_path", "packed").mapInArrow(
         _file_digester(arrow_uri(root)), "relative_path STRING, packed STRING, found STRING"
     )
@@ -277,6 +278,8 @@ def _file_digester(uri: str):
                         known.update(chunk)
                 return known.hexdigest()
             except OSError:
+                if store.get_file_info(f"{base}/{path}").type == fs.FileType.File:
+                    raise  # it is there: the store failed
                 return None
 
         for batch in batches:

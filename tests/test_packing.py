@@ -203,6 +203,13 @@ def test_sample_verification(spark, packed, root):
     assert sorted(r.relative_path for r in wrong) == ["README.md", "cves/2024/a.json"]
 
 
+def test_a_folder_in_place_of_a_file_does_not_match(spark, packed, root):
+    Path(root, "README.md").unlink()
+    Path(root, "README.md").mkdir()
+    wrong = packing.verify_sample(read_snapshot(spark, packed), root, size=100).filter("NOT matches").collect()
+    assert [r.relative_path for r in wrong] == ["README.md"]
+
+
 def test_sample_of_an_empty_tree(spark, packed, tmp_path):
     (tmp_path / "bare").mkdir()
     rows = packing.verify_sample(read_snapshot(spark, packed), str(tmp_path / "bare"), size=4).collect()
