@@ -17,7 +17,7 @@ def test_partitions_are_bounded_for_equal_rows_too(spark):
     assert partitioning.bounded_partitions(equal.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("feed", ["mixed_snapshot", "odd_snapshot"])
+@pytest.mark.parametrize("feed", ["mixed_snapshot", "odd_snapshot", "record_snapshot"])
 def test_one_split_of_orders_is_written_by_several_tasks(spark, folder, feed):
     orders = spark.range(12_000).selectExpr(
         "id AS o_orderkey", "id AS o_custkey", "'F' AS o_orderstatus", "7000.0D AS o_totalprice",
