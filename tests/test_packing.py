@@ -309,3 +309,31 @@ def test_content_is_read_for_named_files_only(spark, packed, root):
     names = plan_of(packing.sample_paths(read_snapshot(spark, packed), 3))
     assert "file_content" not in names
     assert "In(relative_path" in plan_of(packing.verify_sample(read_snapshot(spark, packed), root, 3))
+
+
+def test_a_tree_is_passed_through_in_waves(spark, tmp_path):
+    """Every file is read once, and the disk holds the files of one wave at a time."""
+    rows = [(f"{n % 7}\\{n % 3}/{n}.json", str(n).encode()) for n in range(400)] + [("top.json", b"top")]
+    path, folder = str(tmp_path / "given"), tmp_path / "waves"
+    write_snapshot(spark.createDataFrame(rows, "relative_path STRING, file_content BINARY").coalesce(1), path, rows_per_file=10)
+    seen = []
+
+    def read(root):
+        seen.append(sum(len(names) for top, _, names in os.walk(folder) if "kept" not in top))
+        return read_files(spark, root)
+
+    found = packing.through_tree(spark, path, str(folder), read, wave_files=100)
+    want = sorted((name.replace("\\", "/"), body) for name, body in rows)
+    assert sorted((r.relative_path, bytes(r.file_content)) for r in found.collect()) == want
+    assert len(seen) == 5 and sum(seen) == 401 and max(seen) < 250
+    assert len([name for name in os.listdir(folder) if name.startswith("wave-")]) == 1
+    few = packing.through_tree(spark, path, str(tmp_path / "one"), lambda root: read_files(spark, root))
+    assert few.count() == 401 and not (tmp_path / "one" / "kept").exists()
+
+
+def test_waves_refuse_colliding_paths_of_any_two(spark, tmp_path):
+    rows = [(f"{n}/a", b"") for n in range(60)] + [("59\\a", b"")]
+    path = str(tmp_path / "given")
+    write_snapshot(spark.createDataFrame(rows, "relative_path STRING, file_content BINARY"), path, rows_per_file=10)
+    with pytest.raises(ValueError, match="2 packed names"):
+        packing.through_tree(spark, path, str(tmp_path / "t"), lambda root: read_files(spark, root), wave_files=10)
