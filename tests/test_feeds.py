@@ -3,10 +3,12 @@
 import os
 
 import pytest
+from harness import plan_of
 from pyspark.sql import functions as F
 
-from advisory_lake.operators import partitioning
+from advisory_lake.operators import bronze, partitioning
 from advisory_lake.plans.feeds import Feeds
+from advisory_lake.sources import standin
 
 
 def test_partitions_are_bounded_for_equal_rows_too(spark):
@@ -27,3 +29,10 @@ def test_one_split_of_orders_is_written_by_several_tasks(spark, folder, feed):
     written = getattr(Feeds(spark, folder), feed)
     assert spark.read.parquet(written).count() == 12_000
     assert len({name.split("-")[1] for name in os.listdir(written) if name.startswith("part-")}) == 3
+
+
+def test_a_mixed_document_is_written_and_parsed_once(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    assert plan_of(standin.mixed_texts(orders)).count("StructsToJsonEvaluator") == 2  # compact and pretty
+    files = spark.createDataFrame([("a", b'{"cveMetadata": {}}')], "relative_path STRING, file_content BINARY")
+    assert plan_of(bronze.dated(files)).count("transform(") == 1
