@@ -37,6 +37,8 @@ CACHED_WORDS = 200_000  # about 40 MB in a worker
 LONGEST_CACHED = 40
 
 _STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
+_WEIGHTS = DISCOUNT ** np.arange(SPAN - 2)
+_LETTERS = np.uint64(0x110000)
 _EDGES = "\"'`*&%$#!.,|?;:()[]{}<>-_/\\=+~^@…«»„“”’‘"
 _MARKS = re.compile(r"[^\w]+|_+")
 _SPELLED = re.compile(r"(?<!\S)(?:\S\s){3,}\S(?!\S)")
@@ -56,28 +58,40 @@ class Features:
 
 
 def subsequences(texts: list[str]) -> Features:
-    """Weighted three-letter subsequences; ends of a text count as letters of their own."""
+    """Weighted three-letter subsequences; ends of a text count as letters of their own.
+
+    Texts of one length are a block of rows, each sorted for itself. A key has its discount in
+    its last two bits while it is sorted; three letters of 0x110000 take 61 bits.
+    """
     marked = ["\x02" + text + "\x03" for text in texts]
     letters = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     sizes = np.array([len(text) for text in marked], np.int64)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(letters))  # letters to the end
-    keys, owners, weights = [], [], []
-    for i, j in _STEPS:
-        at = np.flatnonzero(left > j)
-        keys.append(letters[at] << np.uint64(42) | letters[at + i] << np.uint64(21) | letters[at + j])
-        owners.append(owner[at])
-        weights.append(np.full(len(at), DISCOUNT ** (j - 2)))
-    key, own, weight = map(np.concatenate, (keys, owners, weights))
-    by = np.lexsort((key, own))
-    key, own, weight = key[by], own[by], weight[by]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
-    first = np.flatnonzero(new)
-    total = np.add.reduceat(weight, first) if len(first) else weight
-    key, own = key[first], own[first]
-    norm = np.sqrt(np.bincount(own, total**2, len(texts)))
-    return Features(own, key, total, np.where(norm > 0, norm, 1.0))
+    begins = np.cumsum(sizes) - sizes
+    norm = np.ones(len(texts))
+    keys, owners, weights = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0)]
+    for size in np.unique(sizes[sizes > _STEPS[0][1]]).tolist():
+        rows = np.flatnonzero(sizes == size)
+        block = letters[begins[rows, None] + np.arange(size)]
+        packed = np.concatenate(
+            [
+                ((block[:, : size - j] * _LETTERS + block[:, i : size - j + i]) * _LETTERS + block[:, j:]) << np.uint64(2) | np.uint64(j - 2)
+                for i, j in _STEPS
+                if j < size
+            ],
+            axis=1,
+        )
+        packed.sort(axis=1)
+        key = packed >> np.uint64(2)
+        new = np.ones(key.shape, bool)
+        new[:, 1:] = key[:, 1:] != key[:, :-1]
+        first = np.flatnonzero(new)
+        total = np.add.reduceat(_WEIGHTS[packed & np.uint64(3)].ravel(), first)
+        row = first // key.shape[1]
+        norm[rows] = np.sqrt(np.bincount(row, total**2, len(rows)))
+        keys.append(key.ravel()[first])
+        owners.append(rows[row])
+        weights.append(total)
+    return Features(np.concatenate(owners), np.concatenate(keys), np.concatenate(weights), norm)
 
 
 def kernel(texts: list[str], others: list[str]) -> np.ndarray:
@@ -126,6 +140,8 @@ def words_in(text: str) -> list[str]:
     """Words in lower case, and what runs of single characters spell."""
     lowered = text.lower()
     words = lowered.split()
+    if b"\1\1\1\1" not in bytes(map((1).__eq__, map(len, words))):  # four single characters in a row
+        return words
     return words + ["".join(found.split()) for found in _SPELLED.findall(lowered)]
 
 
@@ -133,6 +149,13 @@ def stripped(word: str) -> str:
     return word.strip(_EDGES)
 
 
+def forms(word: str) -> tuple[str, ...]:
+    """What of a word is judged: without marks at its ends, and without any (i.n.s.u.l.t). A word
+    of letters and digits alone is its only form."""
+    plain, joined = stripped(word), _MARKS.sub("", word)
+    return (plain,) if plain == joined else (plain, joined)
+
+
 class Judge:
     """Scores texts, and remembers words it has seen."""
 
@@ -144,26 +167,33 @@ class Judge:
         words = [set(words_in(text)) if text else set() for text in texts]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        new = {word for some in words for word in some if word not in self.known}
-        passing = {}
-        if new:
-            new = sorted(new)
-            for start in range(0, len(new), 4096):
-                part = new[start : start + 4096]
-                plain = self.model.decisions([stripped(word) for word in part])
-                joined = self.model.decisions([_MARKS.sub("", word) for word in part])  # i.n.s.u.l.t
-                for word, value in zip(part, np.maximum(plain, joined).tolist()):
-                    (self.known if len(word) <= LONGEST_CACHED else passing)[word] = value
-        known = (lambda word: passing[word] if word in passing else self.known[word]) if passing else self.known.__getitem__
+        new = set().union(*words).difference(self.known)
+        self.known.update(self.judged(new))
         rows = np.zeros((len(texts), 3))
         rows[:, 0] = -1.0
         for row, some in zip(rows, words):
             if some:
-                values = np.fromiter(map(known, some), float, len(some))
+                values = np.fromiter(map(self.known.__getitem__, some), float, len(some))
                 toxic = np.clip(2 * values - 0.5, 0, 1).sum()
                 row[:] = np.clip(values.max(), -1, 1), np.log1p(toxic), np.log1p(200 * toxic / (len(some) + 20))
+        for word in new:
+            if len(word) > LONGEST_CACHED:
+                del self.known[word]
         return rows
 
+    def judged(self, words: set[str]) -> dict[str, float]:
+        """The highest decision on the forms of each word. Each form is judged once; one without
+        marks is a word with that form alone, and may be known."""
+        marked = {word: forms(word) for word in words if not word.isalnum()}
+        plain = words.difference(marked)
+        value = {form: self.known[form] for some in marked.values() for form in some if form in self.known and form.isalnum()}
+        every = sorted(plain.union(*marked.values()).difference(value), key=len)
+        for start in range(0, len(every), 4096):
+            part = every[start : start + 4096]
+            value.update(zip(part, self.model.decisions(part).tolist()))
+        highest = {word: max(value[form] for form in some) for word, some in marked.items()}
+        return highest | {word: value[word] for word in plain}
+
     def scores(self, texts: list[str | None]) -> np.ndarray:
         return self.model.score(self.features(texts))
 

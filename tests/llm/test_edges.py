@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -485,6 +487,51 @@ def test_kernel_tolerates_gaps():
     assert near[0] == pytest.approx(1) and near[1] > 0.7 and near[2] > 0.5 and near[3] < 0.05
 
 
+def test_kernel_values_follow_from_the_subsequences():
+    def plain(text):
+        found, marked = Counter(), f"\x02{text}\x03"
+        for a in range(len(marked)):
+            for j in range(2, toxicity.SPAN):
+                for b in range(a + 1, min(a + j, len(marked))):
+                    if a + j < len(marked):
+                        found[marked[a], marked[b], marked[a + j]] += toxicity.DISCOUNT ** (j - 2)
+        return found
+
+    texts = ["", "a", "eel", "thattionble", "eel", "aaaaaaaaaa", "\U0010ffff\ud800\U0010ffff東東", "x" * 300]
+    found = [plain(text) for text in texts]
+    norm = [sum(v * v for v in some.values()) ** 0.5 or 1 for some in found]
+    values = [[sum(v * b[k] for k, v in a.items()) / n / m for b, m in zip(found, norm)] for a, n in zip(found, norm)]
+    assert np.allclose(toxicity.kernel(texts, texts), values, atol=1e-12)
+
+
+def test_a_form_of_a_word_is_judged_once(monkeypatch):
+    model = toxicity.fit({"idiot": 1.0, "moron": 1.0}, {"garden": 1.0, "house": 1.0})
+    model.curve = np.array([1.0, 1.0, 1.0, 0.0])
+    asked, plain = [], toxicity.Model.decisions
+    monkeypatch.setattr(toxicity.Model, "decisions", lambda self, words: asked.extend(words) or plain(self, words))
+    texts = ["The garden, the house. garden", "don't id-iot (idiot) a_b " + "x" * 50, "m o r o n garden! the", "", None]
+    judge = toxicity.Judge(model)
+    rows = judge.features(texts)
+    assert len(asked) == len(set(asked)) and "garden" in asked
+    assert not any(len(word) > toxicity.LONGEST_CACHED for word in judge.known)
+    for text, row in zip(texts[:3], rows):
+        words = set(toxicity.words_in(text))
+        every = [[toxicity.stripped(w), toxicity._MARKS.sub("", w)] for w in words]
+        assert row[0] == pytest.approx(np.clip(max(plain(model, some).max() for some in every), -1, 1))
+    asked.clear()
+    again = judge.features(texts)
+    assert np.allclose(again, rows) and asked == ["x" * 50]
+    judge.features(["garden? GARDEN..."])
+    assert asked == ["x" * 50]
+
+
+def test_spelled_out_words():
+    for text in ["i d i o t", "so i d  i o t", "a b c", "a b c d", "x\u2003y\x1cz\u00a0w e", "ab i d i o t cd e f", "😀 a 東 b"]:
+        lowered = text.lower()
+        spelled = ["".join(some.split()) for some in toxicity._SPELLED.findall(lowered)]
+        assert toxicity.words_in(text) == lowered.split() + spelled
+
+
 def test_pipeline_stages(spark):
     tables_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{tables_dir}/documents.parquet")
