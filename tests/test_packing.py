@@ -122,6 +122,39 @@ def test_restore_over_a_tree_replaces_its_files_and_keeps_others(spark, packed,
     assert on_disk(root) == CONTENT | {"own.txt": b"kept"} and not beside(root)
 
 
+def test_restore_over_a_tree_does_not_list_what_it_staged(spark, packed, root, monkeypatch):
+    def walked(*_):
+        raise AssertionError("the names are those of the snapshot")
+
+    monkeypatch.setattr(stores, "walk", walked)
+    for name in CONTENT:
+        Path(root, name).write_bytes(b"stale")
+    packing.restore_snapshot(spark, packed, root, tasks=2)
+    assert on_disk(root) == CONTENT and not beside(root)
+
+
+def test_replacing_files_that_are_absent_linked_or_in_the_way(tmp_path):
+    import pyarrow as pa
+
+    source, target = tmp_path / "s", tmp_path / "t"
+    for folder in (source / "d", target / "d"):
+        folder.mkdir(parents=True)
+    for name in ("new", "old", "linked"):
+        (source / "d" / name).write_bytes(name.encode())
+    (target / "d" / "old").write_bytes(b"stale")
+    (target / "other").write_bytes(b"kept")
+    (target / "d" / "linked").symlink_to(target / "other")
+    mover = stores._file_mover(str(source), str(target))
+    names = pa.RecordBatch.from_pydict({"relative_path": ["d/new", "d/old", "d/linked", "d/old"]})
+    assert [b.column(0).to_pylist() for b in mover([names])] == [[4]]
+    assert on_disk(target) == {"d/new": b"new", "d/old": b"old", "d/linked": b"linked", "other": b"kept"}
+    (source / "d" / "old").write_bytes(b"again")
+    (target / "x" / "d" / "old").mkdir(parents=True)
+    with pytest.raises(OSError):
+        list(stores._file_mover(str(source), str(target / "x"))([names.slice(1, 1)]))
+    assert (source / "d" / "old").read_bytes() == b"again"
+
+
 @pytest.mark.parametrize("fault", ["unsafe path", "lost worker"])
 @pytest.mark.parametrize("there", [False, True])
 def test_a_failed_restore_leaves_the_target_as_it_was(spark, tmp_path, monkeypatch, fault, there):
