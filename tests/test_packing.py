@@ -370,3 +370,47 @@ def test_waves_refuse_colliding_paths_of_any_two(spark, tmp_path):
     write_snapshot(spark.createDataFrame(rows, "relative_path STRING, file_content BINARY"), path, rows_per_file=10)
     with pytest.raises(ValueError, match="2 packed names"):
         packing.through_tree(spark, path, str(tmp_path / "t"), lambda root: read_files(spark, root), wave_files=10)
+
+
+def test_files_of_a_wave_are_written_over_by_the_next(spark, tmp_path):
+    """A file that was deleted has no name any more, which one that is held open tells."""
+    rows = [(f"{n % 7}/{n}.json", str(n).encode() * (n * 31 % 5)) for n in range(300)]
+    path, folder = str(tmp_path / "given"), tmp_path / "waves"
+    write_snapshot(spark.createDataFrame(rows, "relative_path STRING, file_content BINARY").coalesce(1), path, rows_per_file=10)
+    held, over = [], []
+
+    def read(root):
+        over.append(sum(os.fstat(file.fileno()).st_nlink for file in held))
+        for file in held:
+            file.close()
+        held[:] = [open(os.path.join(top, name), "rb") for top, _, names in os.walk(root) for name in names]
+        return read_files(spark, root)
+
+    found = packing.through_tree(spark, path, str(folder), read, wave_files=100)
+    assert sorted((r.relative_path, bytes(r.file_content)) for r in found.collect()) == sorted(rows)
+    assert len(over) == 3 and all(over[1:])
+    assert not os.listdir(folder / "spare")
+    for file in held:
+        file.close()
+
+
+def test_folders_of_files_alone_are_kept_to_be_written_over(spark, tmp_path):
+    part = f".{'0' * 32}.part"
+    for name in ("a/b/1", "a/2", "c/3", "c/4", f"c/{part}", "5"):
+        Path(tmp_path, "tree", name).parent.mkdir(parents=True, exist_ok=True)
+        Path(tmp_path, "tree", name).write_bytes(b"old")
+    spare = stores.spare_folder(str(tmp_path / "spare"))
+    folders = spark.createDataFrame([("",), ("c",), ("a",), ("gone",)], "folder STRING")
+    stores.delete_folders(spark, str(tmp_path / "tree"), folders, spare)
+    assert not (tmp_path / "tree").exists()
+    (kept,) = os.listdir(spare)
+    names = os.listdir(f"{spare}/{kept}")
+    assert len(names) == 2 and part not in names and all(name.endswith(".part") for name in names)
+    rows = spark.createDataFrame([("n/x", b""), ("n/y", b"longer"), ("n/z", b"z")], "relative_path STRING, file_content BINARY")
+    packing.unpack(rows.coalesce(1), str(tmp_path / "new"), spare=spare).collect()
+    assert on_disk(tmp_path / "new") == {"n/x": b"", "n/y": b"longer", "n/z": b"z"}
+    assert not os.listdir(spare)
+    packing.unpack(rows.limit(0), str(tmp_path / "none"), spare=spare).collect()
+    Path(spare, "0", "1").mkdir(parents=True)
+    stores.delete_spare(spark, spare)
+    assert not os.listdir(spare)
